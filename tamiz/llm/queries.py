@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.leakage import find_leaks
 from tamiz.llm.tokenize import encode_corpus
+from tamiz.llm.truncation import score_truncation, truncation_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,3 +39,18 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaked test items with the number of documents that hold them."""
     return p7_found(spark, sf_dir).groupBy("item_id").agg(F.countDistinct("doc_id").alias("documents"))
+
+
+def _scored_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_truncation(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
+@query
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_cuts(spark, sf_dir).where("is_cut").select("doc_id")
+
+
+@query
+def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts."""
+    return truncation_rates(_scored_cuts(spark, sf_dir), "source")
