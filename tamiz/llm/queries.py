@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamiz.llm.encoding import find_garbled
 from tamiz.llm.leakage import find_leaks
 from tamiz.llm.tokenize import encode_corpus
 from tamiz.llm.truncation import score_truncation, truncation_rates
@@ -54,3 +55,14 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each source cuts."""
     return truncation_rates(_scored_cuts(spark, sf_dir), "source")
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_garbled(table(spark, sf_dir, "final_projects"), "rec_id", ["titulo", "objeto"]).select("rec_id", "field")
+
+
+@query
+def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Garbled values with the original text as far as it can be told."""
+    return find_garbled(table(spark, sf_dir, "final_projects"), "rec_id", ["titulo", "objeto"])
