@@ -186,7 +186,8 @@ def _decoded(chunk: str) -> tuple[str, ...]:
                 continue
             if text != chunk and all(unicodedata.category(c)[0] in "LPSN" or c == "\xad" or "\x80" <= c <= "\xa0" for c in text):
                 found.append(text)
-    return tuple(dict.fromkeys(found))
+    # Letters and signs of the language first: short stretches are valid in more than one way.
+    return tuple(sorted(dict.fromkeys(found), key=lambda t: not all(c in LETTERS or c in SIGNS for c in t)))
 
 
 def _bytes(text: str, enc: str) -> bytes | None:
@@ -207,7 +208,7 @@ def _bytes(text: str, enc: str) -> bytes | None:
 def _singles(ch: str) -> tuple[str, ...]:
     """Spanish letters and signs that ``ch`` may be if one single-byte encoding was taken for another."""
     found: list[str] = []
-    if ch in LETTERS:
+    if ch in LETTERS or ch == "\xa0":
         return ()
     for wrong, right in SINGLE:
         for form in dict.fromkeys((ch, ch.upper(), ch.lower())):
@@ -342,7 +343,7 @@ def _unwrap(chunk: str) -> str | None:
             again = _unwrap(one) if len(one) > 1 else None
             if again is not None:
                 return again
-            if len(one) == 1:
+            if len(one) == 1 and (one < "\u0180" or "\u2000" <= one < "\u2300"):
                 return one
         else:
             again = _unwrap(one)
