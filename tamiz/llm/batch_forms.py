@@ -9,13 +9,13 @@ from urllib.parse import urlsplit
 _LOOKS = str.maketrans("oOlI|", "00111")
 _NUMBER = re.compile(r"(?<![^\W_])([\dol]{1,6})\s*(?:[/\-_\s]|\bde\b)+\s*([\dol]{2,4})(?![\d])")
 _NOISE = re.compile(r"^(?:\W|_|proyecto|de|ley|pl|p\.\s?l|no|nro|num|numero)+(?=[\dol])")
-_TOKEN = re.compile(r"[^\W_]+\.?|[?�]+")
+_TOKEN = re.compile(r"(?:[^\W_]|[?\ufffd](?=[^\W_])|(?<=[^\W_])[?\ufffd])+\.?")
 _TAIL = re.compile(r"[^\W\d_]")
 
 
 def fold(text: str) -> str:
     """Compatibility form without accents and case; fraction slashes become slashes."""
-    t = unicodedata.normalize("NFKD", text.replace("⁄", "/").replace("∕", "/"))
+    t = unicodedata.normalize("NFKD", re.sub("[ºª\u00ad]", "", text).replace("⁄", "/").replace("∕", "/"))
     return "".join(c for c in t if not unicodedata.combining(c)).casefold()
 
 

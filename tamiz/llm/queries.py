@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamiz.llm.encoding import find_garbled
+from tamiz.llm.batch_dedup import deduplicate_batches
+from tamiz.llm.encoding import find_garbled, pair_counts
 from tamiz.llm.leakage import find_leaks
+from tamiz.llm.subjects import score_subjects, train_subjects
 from tamiz.llm.tokenize import encode_corpus
 from tamiz.llm.truncation import score_truncation, truncation_rates
 
@@ -66,3 +68,44 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Garbled values with the original text as far as it can be told."""
     return find_garbled(table(spark, sf_dir, "final_projects"), "rec_id", ["titulo", "objeto"])
+
+
+def _batch_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "raw_projects").where(F.col("load_kind") == "batch")
+    return deduplicate_batches(rows, "load_no", pair_counts(rows, ["proyecto"]))
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _batch_leaders(spark, sf_dir).where(F.col("raw_id") != F.col("leader"))
+    return found.select(F.col("leader").alias("raw_id_a"), F.col("raw_id").alias("raw_id_b"))
+
+
+@query
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every batch row with a bill number, the accepted row that says the same and the number of its repeats."""
+    found = _batch_leaders(spark, sf_dir)
+    sizes = found.groupBy("leader").agg((F.count(F.lit(1)) - 1).alias("repeats"))
+    return found.join(sizes, "leader").select("raw_id", "leader", "repeats")
+
+
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, labels = table(spark, sf_dir, "final_projects"), table(spark, sf_dir, "subject_labels")
+    texts = ["titulo", "objeto"]
+    model = pair_counts(rows, texts)
+    # The subject of none is the last of the closed list.
+    rules = train_subjects(rows, labels, "rec_id", "no_camara", texts, "subject", "otros", model)
+    return score_subjects(rows, "rec_id", texts, rules, "otros", model)
+
+
+@query
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).select("rec_id", "subject")
+
+
+@query
+def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of each subject and their share of the corpus."""
+    found = _subjects(spark, sf_dir)
+    total = table(spark, sf_dir, "final_projects").count()
+    return found.groupBy("subject").agg(F.count(F.lit(1)).alias("records"), (F.count(F.lit(1)) / F.lit(max(1, total))).alias("share"))
