@@ -170,9 +170,8 @@ class BatchIndex:
         forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
         if self.parts:
             banded = with_bands(forms)
-            held = self._bands().select("band", F.col("bucket").alias("b2"), F.col("first").alias("accepted"), F.col("title").alias("theirs"))
-            bucket = F.pmod(F.col("band"), F.lit(BUCKETS)).cast("int")
-            met = banded.join(held, (banded.band == held.band) & (bucket == F.col("b2"))).select("identity", "title", "first", "accepted", "theirs").distinct()
+            held = self._bands().select(F.col("band").alias("key"), "bucket", F.col("first").alias("accepted"), F.col("title").alias("theirs"))
+            met = banded.join(held, (F.col("band") == F.col("key")) & (F.pmod("band", F.lit(BUCKETS)).cast("int") == F.col("bucket"))).select("identity", "title", "first", "accepted", "theirs").distinct()
 
             def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in batches:

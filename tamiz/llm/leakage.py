@@ -172,8 +172,9 @@ def _find_block(docs: DataFrame, block: list[tuple[object, list[tuple[str, bool]
                 if t is not last:
                     last, ws = t, cased_words(t)
                 q = passages[item]
-                # Only the stretch of the document that the adjusted offsets point to.
-                if holds_passage(ws[max(0, low - len(q)) : high + 2 * len(q)], q, run):
+                # Only the stretch of the document that the adjusted offsets point to; edits may move the rest by a quarter.
+                slack = len(q) // 4 + 2
+                if holds_passage(ws[max(0, low - slack) : high + len(q) + slack], q, run):
                     good.append(i)
             kept = b.take(pa.array(good, pa.int64()))
             yield pa.RecordBatch.from_arrays([kept.column("doc"), kept.column("item")], names=["doc", "item"])
