@@ -95,8 +95,8 @@ def same_title(a: list[str], b: list[str]) -> bool:
                 differing += 1
                 continue
             p, q = p.replace(".", ""), q.replace(".", "")
-            size = min(len(p), len(q))
-            allowed = 0 if size < 2 else 1 if size < 7 else 2 if size < 10 else 3
+            size = max(len(p), len(q))
+            allowed = 0 if min(len(p), len(q)) < 2 else 1 if size < 7 else 2 if size < 10 else 3
             if edits(p, q, allowed) > allowed:
                 return False
             differing += 1

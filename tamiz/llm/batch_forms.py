@@ -57,7 +57,7 @@ def title_tokens(text: str | None) -> list[str]:
     out = []
     for m in _TOKEN.finditer(t):
         w = m.group()
-        if w.endswith(".") and (m.end() >= len(t.rstrip(" .\"'”»)")) or len(w) > 7 or w[:-1].isdigit()):
+        if w.endswith(".") and (len(w) > 7 or w[:-1].isdigit()):
             w = w[:-1]
         if any(c.isdigit() for c in w) and re.fullmatch(r"[\dol|]+", w):
             w = w.translate(_LOOKS)
