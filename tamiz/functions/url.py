@@ -7,9 +7,10 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def url_join(base: pd.Series, href: pd.Series) -> pd.Series:
     """``urllib.parse.urljoin`` by Arrow batch; NULL where either is NULL, the address itself where it cannot be joined."""
 

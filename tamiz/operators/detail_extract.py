@@ -13,6 +13,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tamiz.functions.text import after_marker, find_all_at, search_group, strip
 from tamiz.functions.url import force_https, url_join
@@ -21,13 +22,13 @@ from tamiz.sources.html import parse
 LINKS = "array<struct<label:string,url:string>>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_xhtml(pages: pd.Series) -> pd.Series:
     """Well-formed XHTML of each page; an empty root for NULL and empty pages."""
     return pages.map(lambda t: parse(t).html())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def full_text(pages: pd.Series) -> pd.Series:
     """All text of each page."""
     return pages.map(lambda t: parse(t).text())
