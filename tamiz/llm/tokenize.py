@@ -127,7 +127,7 @@ def _plan(text: str, whole: int, half: int) -> Iterator[tuple[int, int, bool, st
             unit += 1
 
 
-_IDS = T.ArrayType(T.IntegerType(), False)
+_IDS = T.ArrayType(T.IntegerType(), True)
 
 
 def encode_corpus(
