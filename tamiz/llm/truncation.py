@@ -142,14 +142,17 @@ def train(docs: DataFrame, key: str, text: str, source: str, limits: dict[str, l
             rows, labels, folds = [], [], []
             for h, s, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 own, rng = limits.get(s, []), random.Random(h)
-                rows.append(features(t[-TAIL:], at_limit(len(t), len(t.encode()), own), bool(own)).tolist())
-                labels.append(0)
-                folds.append(zlib.crc32(t[-120:].encode()) % FOLDS)
+                fold = zlib.crc32(t[-120:].encode()) % FOLDS
+                limited = at_limit(len(t), len(t.encode()), own)
+                if not limited or _END.search(t):  # what stops at a limit inside a sentence is no intact example
+                    rows.append(features(t[-TAIL:], limited, bool(own)).tolist())
+                    labels.append(0)
+                    folds.append(fold)
                 for _ in range(2):
                     if made := cut_artificially(t, own, rng):
                         rows.append(features(made[0][-TAIL:], made[1], bool(own)).tolist())
                         labels.append(1)
-                        folds.append(folds[-1])
+                        folds.append(fold)
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(labels, pa.int32()), pa.array(folds, pa.int32())], names=["x", "y", "fold"])
 
     made = chosen.mapInArrow(make, "x array<int>, y int, fold int").toPandas()
