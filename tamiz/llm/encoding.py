@@ -45,6 +45,7 @@ WORDS = 20_000
 #: Words of plain and Spanish letters with at least one accented one, for the table above.
 _WORD = re.compile(f"[A-Za-z]*[{LETTERS}][A-Za-z{LETTERS}]*")
 _BLANKED = re.compile(f"[{LETTERS}?{LOST}]")
+_SPACED = re.compile(f"[A-Za-z{LETTERS}]+\xa0[A-Za-z{LETTERS}]+")
 _HOLED = re.compile(f"[A-Za-z{LETTERS}?{LOST}]+")
 
 
@@ -257,12 +258,18 @@ def repair(text: str, model: PairModel, cost: dict[tuple[str, str], float]) -> t
             holes = [k for k, c in enumerate(w) if c == LOST or c == "?" and (m.start() + k) in odd]
             if holes and len(w) > len(holes) and (known := _spelt(w, model)):
                 lost.update((m.start() + k, known[k]) for k in holes)
+    if "\xa0" in text:
+        # A no-break space is what one table shows for á: only inside what is then a known word.
+        for m in _SPACED.finditer(text):
+            w = m.group().replace("\xa0", "á")
+            if any(known == w.lower() and k >= 3 for k, known in model.words.get(_BLANKED.sub("\0", w.lower()), ())):
+                lost[m.start() + m.group().index("\xa0")] = "á"
     floor = math.log2((2.5 + 2e-7 * model.total) / (model.total + 1))
     out: list[str] = []
     i, n = 0, len(text)
     while i < n:
         ch = text[i]
-        if i not in odd and ch != LOST or ch.isascii() and ch != "?":
+        if i not in odd and i not in lost and ch != LOST or ch.isascii() and ch != "?":
             out.append(ch)
             i += 1
             continue
