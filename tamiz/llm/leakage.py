@@ -169,7 +169,7 @@ def _find_block(docs: DataFrame, block: list[tuple[object, list[tuple[str, bool]
         for b in batches:
             good, last, ws = [], None, []
             for i, (item, low, high, t) in enumerate(zip(*(b.column(c).to_pylist() for c in ("item", "low", "high", "text")), strict=True)):
-                if t is not last:
+                if t != last:
                     last, ws = t, cased_words(t)
                 q = passages[item]
                 # Only the stretch of the document that the adjusted offsets point to; edits may move the rest by a quarter.
