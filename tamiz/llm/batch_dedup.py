@@ -183,9 +183,7 @@ class BatchIndex:
             forms = forms.join(matched, ["identity", "title"], "left")
         else:
             forms = forms.withColumn("accepted", F.lit(None).cast("bigint"))
-        known = forms.where("accepted IS NOT NULL").select("identity", "title", "first", F.col("accepted").alias("leader"))
-        fresh = forms.where("accepted IS NULL").select("identity", "title", "first")
-        resolved = staged(known.unionByName(resolve_in_order(fresh)), "batch-forms")
+        resolved = staged(resolve_in_order(forms), "batch-forms")
         part = f"{self.path}/batch={len(self.parts)}"
         accepted = with_bands(resolved.where("leader = first")).withColumn("bucket", F.pmod(F.col("band"), F.lit(BUCKETS)).cast("int"))
         accepted.repartition("bucket").write.partitionBy("bucket").parquet(part)
@@ -194,32 +192,36 @@ class BatchIndex:
 
 
 def resolve_in_order(forms: DataFrame) -> DataFrame:
-    """``identity, title, first, leader`` of distinct forms that the index does not hold, in order of arrival.
+    """``identity, title, first, leader`` of distinct forms, in order of arrival.
 
-    The forms of one identity pass through one task as a sorted stream of which only the accepted ones are remembered, by
-    band key; a form is compared with those that share a key with it.
+    ``accepted`` is the leader of forms that the index holds, else NULL. The others of one identity pass through one task as
+    a sorted stream of which only the accepted ones are remembered, by band key; a form is compared with those that share a
+    key with it. Equal copies have been merged before, so a hot identity sends no more than its different writings.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current: str | None = None
         buckets: dict[int, list[int]] = {}
-        accepted: dict[int, list[str]] = {}
+        remembered: dict[int, list[str]] = {}
         for f in frames:
             leaders = []
-            for identity, title, first in zip(f["identity"], f["title"], f["first"], strict=True):
+            for identity, title, first, accepted in zip(f["identity"], f["title"], f["first"], f["accepted"], strict=True):
+                if not pd.isna(accepted):
+                    leaders.append(int(accepted))
+                    continue
                 if identity != current:
-                    current, buckets, accepted = identity, {}, {}
+                    current, buckets, remembered = identity, {}, {}
                 tokens, keys = title.split(), band_keys(identity, title)
                 near = sorted({a for k in keys for a in buckets.get(k, ())})
-                leader = next((a for a in near if same_title(tokens, accepted[a])), int(first))
+                leader = next((a for a in near if same_title(tokens, remembered[a])), int(first))
                 if leader == first:
-                    accepted[leader] = tokens
+                    remembered[leader] = tokens
                     for k in set(keys):
                         buckets.setdefault(k, []).append(leader)
                 leaders.append(leader)
-            yield f.assign(leader=leaders)
+            yield f[["identity", "title", "first"]].assign(leader=leaders)
 
-    ordered = forms.select("identity", "title", "first").repartition("identity").sortWithinPartitions("identity", "first")
+    ordered = forms.select("identity", "title", "first", F.col("accepted").cast("string").alias("accepted")).repartition("identity").sortWithinPartitions("identity", "first")
     return ordered.mapInPandas(run, "identity string, title string, first bigint, leader bigint")
 
 
