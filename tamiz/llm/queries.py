@@ -90,7 +90,8 @@ def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, labels = table(spark, sf_dir, "final_projects"), table(spark, sf_dir, "subject_labels")
+    rows, areas = table(spark, sf_dir, "final_projects"), table(spark, sf_dir, "subject_areas")
+    labels = table(spark, sf_dir, "subject_labels").join(areas.select("subject"), "subject", "left_semi")
     texts = ["titulo", "objeto"]
     model = pair_counts(rows, texts)
     # The subject of none is the last of the closed list.
