@@ -275,3 +275,55 @@ def test_stream_equals_batch(spark, tmp_path):
     for _ in range(2):
         upsert_stream(stream, two, str(tmp_path / "state"), ["n"]).awaitTermination()
     assert sorted(one.read().collect()) == sorted(two.read().collect())
+
+
+def test_counts_and_short_answers(spark):
+    from tamiz.operators.metrics import counted, short_answers
+
+    df, seen = counted(spark.range(10), "seen", even=F.col("id") % 2 == 0)
+    df.collect()
+    assert seen.get == {"rows": 10, "even": 5}
+    batched = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "batch bigint, place bigint")
+    labels = spark.createDataFrame([(1, "3", "x")], "batch bigint, id string, label string")
+    assert [tuple(r) for r in short_answers(batched, labels).collect()] == [(0, 2, 0)]
+
+
+def test_statements():
+    from tamiz.sources.postgres import create_statement, upsert_statement
+
+    assert create_statement("t", {"k": "TEXT", "v": "DATE"}, "k") == "CREATE TABLE IF NOT EXISTS t (k TEXT, v DATE, PRIMARY KEY (k))"
+    assert upsert_statement("t", ["k", "v"], "k") == "INSERT INTO t (k, v) VALUES %s ON CONFLICT (k) DO UPDATE SET v = EXCLUDED.v"
+    assert upsert_statement("t", ["k"], "k").endswith("DO NOTHING")
+
+
+def test_command_line(spark, tmp_path):
+    yaml = pytest.importorskip("yaml")
+    from tamiz.__main__ import main
+
+    for name, value in (("spec.yml", CFG), ("rules.yml", RULES)):
+        (tmp_path / name).write_text(yaml.safe_dump(value, allow_unicode=True))
+    pages(spark, "a").write.parquet(str(tmp_path / "pages"))
+    detail(spark).write.parquet(str(tmp_path / "detail"))
+    args = [str(tmp_path / "spec.yml"), "--classifier", str(tmp_path / "rules.yml"), "--root", str(tmp_path / "store"), "--pages", str(tmp_path / "pages"), "--detail", str(tmp_path / "detail")]
+    main(args)
+    spec = pipeline_spec(CFG, RULES)
+    assert final_table(spark, spec, str(tmp_path / "store")).read().count() == 3
+
+
+def test_http_source(spark, tmp_path):
+    import http.server
+    import threading
+
+    from tamiz.sources.pages import register_http_source
+
+    (tmp_path / "a.html").write_text("<p>hola</p>")
+    handler = lambda *a: http.server.SimpleHTTPRequestHandler(*a, directory=str(tmp_path))
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    try:
+        register_http_source(spark)
+        rows = spark.read.format("tamiz_http").option("urls", f"{base}/a.html\n{base}/b.html").option("attempts", "1").load().collect()
+    finally:
+        server.shutdown()
+    assert sorted((r.html or "", r.status or 0) for r in rows) == [("", 0), ("<p>hola</p>", 200)]
