@@ -52,6 +52,7 @@ def attribute_history(
         points.groupBy(_K, _T)
         .agg(F.max(F.struct("__rank", "__state")).alias("__top"))
         .select(_K, _T, F.to_date(_T).alias(_DAY), F.col("__top.__rank.h").alias(_H), F.col("__top.__state").alias("__state"))
+        .where(F.col(_DAY).isNotNull())  # always true; both sides of the join below then read one and the same exchange
     )
     in_day = Window.partitionBy(_K, _DAY).orderBy(_T)
     marked = points.withColumn("__prev", F.lag(_H).over(in_day)).withColumn("__mark", F.when(F.col("__prev") != F.col(_H), 1).otherwise(0))
