@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tamiz.session import staged
+
 #: Characters that are counted as themselves, the most frequent ones; all others count as their Unicode category. With at
 #: most 30 categories the pair table has no more than (ALPHABET + 30) ** 2 rows; it is what the driver and the tasks hold.
 ALPHABET = 500
@@ -94,24 +96,38 @@ def padded(text: str) -> str:
 
 
 def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
-    """Pairs of adjacent characters in all values of ``columns``; ends of values count as line breaks."""
+    """Pairs of adjacent characters in all values of ``columns``, and their accented words; ends of values count as line breaks.
 
-    texts = docs.select(*columns)
+    Equal values count once, so that a text delivered over and over does not look probable, garbled as it may be. What is
+    counted (a row for each pair and word) is kept in a small table.
+    """
+    values = docs.select(F.explode(F.array(*columns)).alias("v")).where("v <> ''").distinct()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
 
-        seen: Counter[str] = Counter()
+        pairs: Counter[str] = Counter()
+        words: Counter[str] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            kinds = ["p"] * len(pairs) + ["w"] * len(words)
+            out = pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([*pairs, *words], pa.string()), pa.array([*pairs.values(), *words.values()], pa.int64())], names=["kind", "item", "n"])
+            pairs.clear()
+            words.clear()
+            return out
+
         for b in batches:
-            for column in b.columns:
-                for t in column.to_pylist():
-                    if t:
-                        p = padded(t)
-                        seen.update(map(str.__add__, p, p[1:]))
-        yield pa.RecordBatch.from_pydict({"pair": list(seen), "n": list(seen.values())}, schema=pa.schema([("pair", pa.string()), ("n", pa.int64())]))
-
-    counted = texts.mapInArrow(count, "pair string, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
-    first = counted.groupBy(F.substring("pair", 1, 1).alias("ch")).agg(F.sum("n").alias("n"))
+            for t in b.column(0).to_pylist():
+                p = padded(t)
+                pairs.update(map(str.__add__, p, p[1:]))
+                words.update(w.lower() for w in _WORD.findall(t))
+            if len(pairs) + len(words) > 200_000:
+                yield flush()
+        yield flush()
+
+    counted = staged(values.mapInArrow(tally, "kind string, item string, n bigint").groupBy("kind", "item").agg(F.sum("n").alias("n")), "pair-counts")
+    by_pair = counted.where("kind = 'p'").select(F.col("item").alias("pair"), "n")
+    first = by_pair.groupBy(F.substring("pair", 1, 1).alias("ch")).agg(F.sum("n").alias("n"))
     alphabet = frozenset(r["ch"] for r in first.orderBy(F.desc("n"), "ch").limit(ALPHABET).collect())
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,24 +136,11 @@ def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
             p = b.column("pair").to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array([symbol(x[0]) for x in p], pa.string()), pa.array([symbol(x[1]) for x in p], pa.string()), b.column("n")], names=["a", "b", "n"])
 
-    folded = counted.mapInArrow(fold, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
+    folded = by_pair.mapInArrow(fold, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     pairs = {(r["a"], r["b"]): r["n"] for r in folded.collect()}
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        seen: Counter[str] = Counter()
-        for b in batches:
-            for column in b.columns:
-                for t in column.to_pylist():
-                    if t:
-                        seen.update(w.lower() for w in _WORD.findall(t))
-        yield pa.RecordBatch.from_pydict({"w": list(seen), "n": list(seen.values())}, schema=pa.schema([("w", pa.string()), ("n", pa.int64())]))
-
-    spelt = texts.mapInArrow(spell, "w string, n bigint").groupBy("w").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "w").limit(WORDS)
     words: dict[str, list[tuple[int, str]]] = {}
-    for r in spelt.collect():
-        words.setdefault(_BLANKED.sub("\0", r["w"]), []).append((r["n"], r["w"]))
+    for r in counted.where("kind = 'w'").orderBy(F.desc("n"), "item").limit(WORDS).collect():
+        words.setdefault(_BLANKED.sub("\0", r["item"]), []).append((r["n"], r["item"]))
     return PairModel(alphabet, pairs, sum(pairs.values()), words)
 
 
