@@ -42,12 +42,12 @@ def length_limits(docs: DataFrame, source: str, text: str) -> dict[str, list[tup
     """Length limits of each source, as ``{source: [(unit, length), ...]}``, unit ``c`` (characters) or ``b`` (UTF-8 bytes).
 
     A limit is a length that at least eight texts have and that is twelve times as frequent as the lengths within 25 of it
-    are on the mean. Counted over all texts; the source NULL is ``''``.
+    are on the mean. Counted over all texts, copies of a text in a source once; the source NULL is ``''``.
     """
-    lengths = docs.where(F.col(text).isNotNull()).select(
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        F.explode(F.array(F.struct(F.lit("c").alias("unit"), F.length(text).alias("n")), F.struct(F.lit("b").alias("unit"), F.octet_length(text).alias("n")))).alias("u"),
-    )
+    once = docs.where(F.col(text).isNotNull()).select(
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.length(text).alias("c"), F.octet_length(text).alias("b"), F.xxhash64(text).alias("h")
+    ).distinct()
+    lengths = once.select("source", F.explode(F.array(F.struct(F.lit("c").alias("unit"), F.col("c").alias("n")), F.struct(F.lit("b").alias("unit"), F.col("b").alias("n")))).alias("u"))
     counts = lengths.groupBy("source", F.col("u.unit").alias("unit"), F.col("u.n").alias("n")).agg(F.count(F.lit(1)).alias("k"))
     near = Window.partitionBy("source", "unit").orderBy("n").rangeBetween(-25, 25)
     spikes = counts.where("n >= 32").withColumn("around", F.sum("k").over(near) - F.col("k")).where("k >= 8 AND k > 12 * around / 50")

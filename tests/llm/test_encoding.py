@@ -56,6 +56,8 @@ def test_empty_table(spark):
 def test_pair_counts_are_complete(spark):
     model = pair_counts(spark.createDataFrame([("ab", None), ("a", "b")], "x string, y string"), ["x", "y"])
     assert model.pairs[("a", "b")] == 1 and model.pairs[("\n", "a")] == 2 and model.total == 3 + 2 + 2
+    twice = pair_counts(spark.createDataFrame([("ab", None), ("a", "b"), ("ab", "ab")], "x string, y string"), ["x", "y"])
+    assert twice.pairs == model.pairs
 
 
 def test_segments_are_those_of_brute_force():
