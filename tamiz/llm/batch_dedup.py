@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -28,21 +29,22 @@ BANDS = 12
 #: Parts of the index.
 BUCKETS = 16
 
-_SEEDS = [0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(BANDS)]
-_MASK = 0xFFFFFFFFFFFFFFFF
+_SEEDS = np.array([0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(BANDS)], dtype=np.uint64)
+_SHIFT, _FACTOR = np.uint64(33), np.uint64(0xFF51AFD7ED558CCD)
 
 
-def _mix(h: int, seed: int) -> int:
-    h ^= seed
-    h = (h ^ (h >> 33)) * 0xFF51AFD7ED558CCD & _MASK
-    return h ^ (h >> 33)
+def minwise(title: str) -> list[int]:
+    """The least hash of the title's character triples under each seed."""
+    t = title.replace(".", "").replace(" ", "")
+    triples = {t[i : i + 3] for i in range(max(1, len(t) - 2))}
+    h = np.fromiter((xxhash.xxh64_intdigest(x) for x in triples), dtype=np.uint64, count=len(triples))[:, None] ^ _SEEDS
+    h = (h ^ (h >> _SHIFT)) * _FACTOR
+    return (h ^ (h >> _SHIFT)).min(axis=0).tolist()
 
 
 def band_keys(identity: str, title: str) -> list[int]:
     """Band keys of a record: a key names the identity, the band and the least hash of the title's character triples."""
-    t = title.replace(".", "").replace(" ", "")
-    triples = {xxhash.xxh64_intdigest(t[i : i + 3]) for i in range(max(1, len(t) - 2))}
-    return [xxhash.xxh64_intdigest(f"{identity}|{k}|{min(_mix(h, seed) for h in triples)}") - (1 << 63) for k, seed in enumerate(_SEEDS)]
+    return [xxhash.xxh64_intdigest(f"{identity}|{k}|{least}") - (1 << 63) for k, least in enumerate(minwise(title))]
 
 
 def edits(a: str, b: str, most: int) -> int:
@@ -167,7 +169,9 @@ class BatchIndex:
         Gives ``raw_id, leader`` of every row, ``leader`` being the accepted row that says the same (the row itself, where
         it is accepted). Among several the one accepted first is taken. An empty batch gives an empty result.
         """
-        forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        # Few bytes, but much work for each: spread over all cores, whatever the bytes say.
+        forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first")).repartition(parts, "identity")
         if self.parts:
             banded = with_bands(forms)
             held = self._bands().select(F.col("band").alias("key"), "bucket", F.col("first").alias("accepted"), F.col("title").alias("theirs"))
@@ -221,7 +225,7 @@ def resolve_in_order(forms: DataFrame) -> DataFrame:
                 leaders.append(leader)
             yield f[["identity", "title", "first"]].assign(leader=leaders)
 
-    ordered = forms.select("identity", "title", "first", F.col("accepted").cast("string").alias("accepted")).repartition("identity").sortWithinPartitions("identity", "first")
+    ordered = forms.select("identity", "title", "first", F.col("accepted").cast("string").alias("accepted")).repartition(int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")), "identity").sortWithinPartitions("identity", "first")
     return ordered.mapInPandas(run, "identity string, title string, first bigint, leader bigint")
 
 
