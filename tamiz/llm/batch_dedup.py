@@ -158,24 +158,36 @@ class BatchIndex:
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
         self.path = path or work_path(spark, "batch-index")
-        self.parts: list[str] = []
+        self.parts = self._present()
+
+    def _present(self) -> list[str]:
+        """Key folders of the batches that an index on disk already holds, complete ones only."""
+        jvm = self.spark._jvm
+        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys")
+        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        parts: list[str] = []
+        while fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys/batch={len(parts)}/_SUCCESS")):
+            parts.append(f"{self.path}/keys/batch={len(parts)}")
+        return parts
 
     def _bands(self) -> DataFrame:
-        return self.spark.read.schema("band bigint, first bigint, identity string, title string, bucket int").option("basePath", self.path).parquet(*self.parts)
+        return self.spark.read.schema("band bigint, first bigint, identity string, title string, bucket int").option("basePath", f"{self.path}/keys").parquet(*self.parts)
 
-    def accept(self, rows: DataFrame) -> DataFrame:
-        """Checks a batch of :func:`canonical_rows` and appends what is new to the index.
+    def check(self, rows: DataFrame) -> str:
+        """Checks a batch of :func:`canonical_rows`, appends what is new to the index, and gives the folder of the result.
 
-        Gives ``raw_id, leader`` of every row, ``leader`` being the accepted row that says the same (the row itself, where
-        it is accepted). Among several the one accepted first is taken. An empty batch gives an empty result.
+        That holds ``identity, title, first, leader`` of each distinct form, ``leader`` being the accepted row that says the
+        same, the first such; ``first`` itself, where it is accepted.
         """
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        number = len(self.parts)
+        forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
         # Few bytes, but much work for each: spread over all cores, whatever the bytes say.
-        forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first")).repartition(parts, "identity")
+        forms = forms.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "identity")
         if self.parts:
             banded = with_bands(forms)
             held = self._bands().select(F.col("band").alias("key"), "bucket", F.col("first").alias("accepted"), F.col("title").alias("theirs"))
-            met = banded.join(held, (F.col("band") == F.col("key")) & (F.pmod("band", F.lit(BUCKETS)).cast("int") == F.col("bucket"))).select("identity", "title", "first", "accepted", "theirs").distinct()
+            met = banded.join(held, (F.col("band") == F.col("key")) & (F.pmod("band", F.lit(BUCKETS)).cast("int") == F.col("bucket")))
+            met = met.select("identity", "title", "first", "accepted", "theirs").distinct()
 
             def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in batches:
@@ -187,14 +199,23 @@ class BatchIndex:
             forms = forms.join(matched, ["identity", "title"], "left")
         else:
             forms = forms.withColumn("accepted", F.lit(None).cast("bigint"))
-        resolved = staged(resolve_in_order(forms), "batch-forms")
-        part = f"{self.path}/batch={len(self.parts)}"
-        accepted = with_bands(resolved.where("leader = first")).withColumn("bucket", F.pmod(F.col("band"), F.lit(BUCKETS)).cast("int"))
-        accepted.repartition("bucket").write.partitionBy("bucket").parquet(part)
+        result, part = f"{self.path}/forms/batch={number}", f"{self.path}/keys/batch={number}"
+        resolve_in_order(forms).write.mode("overwrite").parquet(result)
+        fresh = self.spark.read.schema(_RESOLVED).parquet(result).where("leader = first")
+        keyed = with_bands(fresh).withColumn("bucket", F.pmod(F.col("band"), F.lit(BUCKETS)).cast("int"))
+        keyed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(part)
         self.parts.append(part)
+        return result
+
+    def accept(self, rows: DataFrame) -> DataFrame:
+        """:meth:`check`, as ``raw_id, leader`` of every row of the batch. An empty batch gives an empty result."""
+        resolved = self.spark.read.schema(_RESOLVED).parquet(self.check(rows))
         return rows.join(resolved.drop("first"), ["identity", "title"]).select("raw_id", "leader")
 
 
+_RESOLVED = "identity string, title string, first bigint, leader bigint"
+
+
 def resolve_in_order(forms: DataFrame) -> DataFrame:
     """``identity, title, first, leader`` of distinct forms, in order of arrival.
 
@@ -247,8 +268,14 @@ def deduplicate_batches(rows: DataFrame, load: str, model: PairModel | None = No
     steps = arrival_steps(rows, load, "raw_id")
     canonical = staged(canonical_rows(rows, model), "batch-canonical")
     index = BatchIndex(spark, path)
-    out = None
+    before = len(index.parts)
     for _, lo, hi in steps:
-        found = index.accept(canonical.where(F.col("raw_id").between(lo, hi)))
-        out = found if out is None else out.unionByName(found)
-    return out if out is not None else canonical.select("raw_id", F.col("raw_id").alias("leader"))
+        index.check(canonical.where(F.col("raw_id").between(lo, hi)))
+    if not steps:
+        return canonical.select("raw_id", F.col("raw_id").alias("leader"))
+    # Rows meet the forms of their own batch in one join for all batches.
+    number = F.lit(-1)
+    for k, (_, lo, hi) in enumerate(steps):
+        number = F.when(F.col("raw_id").between(lo, hi), before + k).otherwise(number)
+    resolved = spark.read.schema(f"{_RESOLVED}, batch int").parquet(f"{index.path}/forms").drop("first")
+    return canonical.withColumn("batch", number).join(resolved, ["batch", "identity", "title"]).select("raw_id", "leader")

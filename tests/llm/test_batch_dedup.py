@@ -79,6 +79,9 @@ def test_index_persists_and_takes_empty_batches(spark, tmp_path):
     index.accept(df.where("raw_id < 8")).collect()
     again = {r.raw_id: r.leader for r in index.accept(df.where("raw_id < 8")).collect()}
     assert again == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    later = [(20, 4, "017/2012C", None, TITLE.lower(), URL), (21, 4, "099/2012C", None, TITLE, URL)]
+    got = deduplicate_batches(spark.createDataFrame(later, SCHEMA), "load_no", path=str(tmp_path / "index")).collect()
+    assert {r.raw_id: r.leader for r in got} == {20: 1, 21: 21}
     empty = spark.createDataFrame([], SCHEMA)
     assert deduplicate_batches(empty, "load_no").collect() == [] and resolve_in_order(canonical_rows(empty).selectExpr("identity", "title", "raw_id AS first", "CAST(NULL AS BIGINT) AS accepted")).collect() == []
 
