@@ -21,6 +21,8 @@ from tamiz.operators.detail_extract import extract_detail, second_hop
 from tamiz.operators.list_extract import ListSpec, extract_list, table_rows
 from tamiz.operators.store import SnapshotTable, first_per_key, upserted
 from tamiz.plans.labels import CATEGORIES, RULES
+from tamiz.plans.pipeline import final_table, run
+from tamiz.plans.spec import pipeline_spec
 from tamiz.queries import _WS, query, sql_key, table
 from tamiz.session import work_path
 from tamiz.sources.pages import usable_proxies
@@ -445,3 +447,47 @@ def q_second_hop(spark: SparkSession, sf: str) -> DataFrame:
     html = F.concat(F.lit('<a href="a'), n, F.lit('.PDF">1</a><a href="">2</a><a href="b.pdf">3</a><a href="c.doc">4</a>'))
     pages = spark.range(1, 4).select(F.concat(F.lit("https://portal.invalid/x/"), n).alias("url"), html.alias("html"))
     return second_hop(records, pages, "http://portal.invalid").select("rec_id", F.array_join("documentos", " ").alias("archivos"))
+
+
+# --- a whole run ----------------------------------------------------------------------------------------------------------
+
+RUN = {
+    "portal": {"domain": "https://portal.invalid", "base_url": "https://portal.invalid/list"},
+    "pipeline": [{"type": "list"}, {"type": "detail", "input_key": "detail_url"}],
+    "selectors": {
+        "list": {
+            "row_selector": "tr", "cell_selector": "td", "detail_link_selector": "td:nth-child(3) a", "detail_link_exclude": {"href_suffix": ".pdf", "text": "ver documento"},
+            "title_regex": "Título:\\s*“(.+?)”", "fields": {"no_camara": "td:nth-child(1)", "no_senado": "td:nth-child(2)", "proyecto": "td:nth-child(3)", "tipo": "td:nth-child(4)"},
+            "hash": {"key": "row_hash", "fields": ["no_camara", "no_senado", "proyecto", "detail_url"]},
+        },
+        "detail": {"fields": {"objeto": {"regex": r"Objeto de proyecto:\s*(.*?)Observaciones:"}, "documentos": DETAIL["documentos"]}},
+    },
+    "storage": {
+        "raw": {"table": "raw", "primary_key": "row_hash", "lookup_key": "no_camara", "columns": _RAW_COLUMNS},
+        "final": {"table": "final", "primary_key": "row_hash", "lookup_key": "no_camara", "columns": {"no_camara": "TEXT", "no_senado": "TEXT", "titulo": "TEXT", "objeto": "TEXT", "documentos": "JSONB", "sector": "TEXT", "row_hash": "TEXT"}},
+    },
+    "classifier": {"titulo": "titulo", "detalle": "objeto"},
+}
+_P, _TITLE = _CLEAN("proyecto"), sql_strip("regexp_extract(" + _MARKED + " || '”', '(?s)^(.+?)”', 1)")
+
+
+@query(
+    "pipeline_run",
+    f"""WITH r AS (SELECT raw_id, {sql_strip(_CLEAN("no_camara"))} AS no_camara, {sql_strip(_CLEAN("no_senado"))} AS no_senado, {_P} AS p,
+      {sql_strip(f"concat('PDFVer Documento', {_P}, 'Título: “', {_P}, '”')")} AS proyecto, 'https://portal.invalid/p/' || raw_id AS detail_url,
+      CASE WHEN {_P} = '' THEN {sql_strip(_CLEAN("no_camara"))} ELSE {_TITLE} END AS titulo, {sql_strip(_P)} AS objeto FROM raw_projects),
+    h AS (SELECT *, md5({sql_json(["no_camara", "no_senado", "proyecto", "detail_url"])}) AS row_hash, concat(titulo, ' ', objeto) AS t FROM r WHERE no_camara <> '')
+    SELECT no_camara, CASE WHEN {sql_strip("no_senado")} <> '' THEN no_senado END AS no_senado, CASE WHEN {sql_strip("titulo")} <> '' THEN titulo END AS titulo,
+      CASE WHEN {sql_strip("objeto")} <> '' THEN objeto END AS objeto, '[{{"label":"Texto","url":"https://portal.invalid/d/' || raw_id || '.pdf"}}]' AS documentos,
+      CASE WHEN {_CASE} = '' THEN 'otros' ELSE {_CASE} END AS sector, row_hash FROM h""",
+)
+def q_run(spark: SparkSession, sf: str) -> DataFrame:
+    """List pages, delta against an empty store, detail pages, rules, conformance and upsert of all raw_projects rows."""
+    spec = pipeline_spec(RUN, {"rules": [{"pattern": p, "category": c} for p, c in RULES], "categories": CATEGORIES}, first_n=None)
+    root = work_path(spark, "pipeline")
+    listing = list_pages(spark, sf).withColumnRenamed("raw_id", "page_no")
+    n = F.col("raw_id").cast("string")
+    html = F.concat(F.lit("<p>Objeto de proyecto: "), escaped(F.col("proyecto")), F.lit('<p>Observaciones: ninguna<a href="/d/'), n, F.lit('.pdf">Texto</a>'))
+    detail = table(spark, sf, "raw_projects").select(F.concat(F.lit("https://portal.invalid/p/"), n).alias("url"), html.alias("html"))
+    run(spark, spec, root, listing, detail)
+    return final_table(spark, spec, root).read()

@@ -22,16 +22,11 @@ from tamiz.sources.html import parse
 LINKS = "array<struct<label:string,url:string>>"
 
 
-@F.pandas_udf(T.StringType())
-def to_xhtml(pages: pd.Series) -> pd.Series:
-    """Well-formed XHTML of each page; an empty root for NULL and empty pages."""
-    return pages.map(lambda t: parse(t).html())
-
-
-@F.pandas_udf(T.StringType())
-def full_text(pages: pd.Series) -> pd.Series:
-    """All text of each page."""
-    return pages.map(lambda t: parse(t).text())
+@F.pandas_udf(T.StructType([T.StructField("xhtml", T.StringType()), T.StructField("text", T.StringType())]))
+def page_forms(pages: pd.Series) -> pd.DataFrame:
+    """Well-formed XHTML and all text of each page, parsed once; an empty root for NULL and empty pages."""
+    roots = [parse(t) for t in pages]
+    return pd.DataFrame({"xhtml": [r.html() for r in roots], "text": [r.text() for r in roots]}, dtype=object)
 
 
 def _node_path(path: str) -> bool:
@@ -181,8 +176,8 @@ def field_column(name: str, how: Mapping[str, Any], html: Column, xhtml: Column,
 def extract_detail(pages: DataFrame, fields: Mapping[str, Mapping[str, Any]], domain: str = "", html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
     """``carry`` columns and the declared fields of each page."""
     raw = F.coalesce(F.col(html), F.lit(""))
-    base = pages.select(*carry, raw.alias("__html"), to_xhtml(raw).alias("__xhtml"), full_text(raw).alias("__text"))
-    columns = [field_column(n, how, F.col("__html"), F.col("__xhtml"), F.col("__text"), domain) for n, how in fields.items()]
+    base = pages.select(*carry, raw.alias("__html"), page_forms(raw).alias("__page"))
+    columns = [field_column(n, how, F.col("__html"), F.col("__page.xhtml"), F.col("__page.text"), domain) for n, how in fields.items()]
     return base.select(*carry, *columns)
 
 
