@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from tamiz.functions.text import after_marker, find_all_at, search_group, strip
 from tamiz.functions.url import force_https, url_join
+from tamiz.session import spread
 from tamiz.sources.html import parse
 
 LINKS = "array<struct<label:string,url:string>>"
@@ -176,7 +177,7 @@ def field_column(name: str, how: Mapping[str, Any], html: Column, xhtml: Column,
 def extract_detail(pages: DataFrame, fields: Mapping[str, Mapping[str, Any]], domain: str = "", html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
     """``carry`` columns and the declared fields of each page."""
     raw = F.coalesce(F.col(html), F.lit(""))
-    base = pages.select(*carry, raw.alias("__html"), page_forms(raw).alias("__page"))
+    base = spread(pages.select(*carry, html)).select(*carry, raw.alias("__html"), page_forms(raw).alias("__page"))
     columns = [field_column(n, how, F.col("__html"), F.col("__page.xhtml"), F.col("__page.text"), domain) for n, how in fields.items()]
     return base.select(*carry, *columns)
 

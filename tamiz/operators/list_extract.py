@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.text import jvm_pattern, strip
 from tamiz.functions.url import url_join
+from tamiz.session import spread
 from tamiz.sources.html import parse, select
 
 _ROWS = "array<struct<cells:array<struct<text:string,html:string,anchors:array<struct<href:string,text:string>>>>>>"
@@ -112,7 +113,7 @@ def extract_list(pages: DataFrame, spec: ListSpec, html: str = "html", carry: Se
 
     NULL, empty and malformed pages give what rows they have, possibly none.
     """
-    exploded = pages.select(*carry, F.posexplode(table_rows(F.col(html), spec.row_selector, spec.cell_selector)).alias("row_no", "row"))
+    exploded = spread(pages.select(*carry, html)).select(*carry, F.posexplode(table_rows(F.col(html), spec.row_selector, spec.cell_selector)).alias("row_no", "row"))
     rows = bind_cells(exploded.select(*carry, "row_no", F.col("row.cells").alias("__cells")), "__cells", spec.fields)
     if spec.link_column is not None:
         cell = F.get(F.col("__cells"), F.lit(spec.link_column))

@@ -55,3 +55,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as there are cores, for work that is heavy for each row.
+
+    Only a plain scan with fewer partitions than cores is moved, which is small: no more than a split for each core. Anything
+    else, and any larger scan, stays as it is.
+    """
+    execution = df._jdf.queryExecution()
+    plan = execution.executedPlan().toString()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in plan or "AdaptiveSparkPlan" in plan or execution.toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)

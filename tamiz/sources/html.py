@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 from xml.sax.saxutils import escape, quoteattr
 
@@ -132,6 +133,7 @@ def parse(text: str | None) -> Node:
 _PART = re.compile(r"""([a-zA-Z][\w-]*|\*)|\#([\w-]+)|\.([\w-]+)|\[\s*([\w-]+)\s*(?:([~^$*|]?)=\s*(?:"([^"]*)"|'([^']*)'|([^\]\s]+))\s*)?\]|:nth-child\((\d+)\)|:first-child""")
 
 
+@lru_cache(maxsize=256)
 def _compile(selector: str) -> list[list[list[tuple]]]:
     """Groups of chains of compound selectors; only descendant and child combinators, the latter marked ``('>',)``."""
     groups = []
