@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tamiz.llm.batch_forms import address, figures, numbered, title_tokens
 from tamiz.llm.encoding import PairModel, repair
-from tamiz.session import staged, work_path
+from tamiz.session import spread, staged, work_path
 
 #: Band keys of a record, each the least hash of its character triples under its own seed. Two titles that share half of
 #: their triples agree in at least one of twelve but for one case in four thousand.
@@ -137,7 +137,7 @@ def canonical_rows(rows: DataFrame, model: PairModel | None = None) -> DataFrame
             )
 
     picked = rows.select(F.col("raw_id").cast("bigint").alias("raw_id"), *[F.col(c).cast("string").alias(c) for c in ("no_camara", "no_senado", "proyecto", "detail_url")])
-    return picked.mapInArrow(canon, "raw_id bigint, identity string, title string")
+    return spread(picked).mapInArrow(canon, "raw_id bigint, identity string, title string")
 
 
 def with_bands(forms: DataFrame) -> DataFrame:

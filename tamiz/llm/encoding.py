@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.session import staged
+from tamiz.session import spread, staged
 
 #: Characters that are counted as themselves, the most frequent ones; all others count as their Unicode category. With at
 #: most 30 categories the pair table has no more than (ALPHABET + 30) ** 2 rows; it is what the driver and the tasks hold.
@@ -394,5 +394,5 @@ def find_garbled(docs: DataFrame, key: str, columns: list[str], model: PairModel
                 names=["k", "field", "garbled", "restored"],
             )
 
-    found = docs.select(F.col(key).alias("k"), *[F.col(c) for c in columns]).mapInArrow(scan, f"k {key_type}, field string, garbled string, restored string")
+    found = spread(docs.select(F.col(key).alias("k"), *[F.col(c) for c in columns])).mapInArrow(scan, f"k {key_type}, field string, garbled string, restored string")
     return found.select(F.col("k").alias(key), "field", "garbled", "restored")

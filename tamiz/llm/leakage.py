@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.words import cased_words, told_words, words
-from tamiz.session import staged
+from tamiz.session import spread, staged
 
 #: Consecutive words that make a leak.
 RUN = 12
@@ -41,7 +41,7 @@ def document_frequencies(docs: DataFrame, text: str, vocabulary: Iterable[str])
                 seen.update(known.intersection(words(t)))
         yield pa.RecordBatch.from_pydict({"token": list(seen), "n": list(seen.values())}, schema=pa.schema([("token", pa.string()), ("n", pa.int64())]))
 
-    counted = docs.select(F.col(text).alias("t")).where("t IS NOT NULL").mapInArrow(count, "token string, n bigint")
+    counted = spread(docs.select(F.col(text).alias("t")).where("t IS NOT NULL")).mapInArrow(count, "token string, n bigint")
     return {r["token"]: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).collect()}
 
 
@@ -69,7 +69,7 @@ def positional_index(docs: DataFrame, key: str, text: str, tokens: Iterable[str]
                 names=["token", "doc", "at", "around"],
             )
 
-    postings = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL").mapInArrow(
+    postings = spread(docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL")).mapInArrow(
         post, f"token string, doc {key_type.simpleString()}, at int, around array<string>"
     )
     # A frequent token's postings are spread over eight parts.

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tamiz.session import spread
+
 DEFAULT_FOLDER = "/opt/tokenizers"
 #: Longest text, in characters, that one row encodes at once.
 WHOLE = 1 << 16
@@ -149,7 +151,7 @@ def encode_corpus(
             ids = [enc.encode_ordinary(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(ids, ids_arrow)], names=["key", "ids"])
 
-    short = pair.where(F.length("text") <= whole).mapInArrow(encode_whole, out)
+    short = spread(pair.where(F.length("text") <= whole)).mapInArrow(encode_whole, out)
 
     part_type = T.StructType(
         [T.StructField("key", key_type), T.StructField("unit", T.LongType()), T.StructField("part", T.LongType()), T.StructField("raw", T.BooleanType()), T.StructField("text", T.StringType())]

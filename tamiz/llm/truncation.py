@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tamiz.session import spread
+
 #: Dimensions of the hashed features.
 WIDTH = 1 << 16
 #: Most texts of the training sample.
@@ -198,7 +200,7 @@ def score_truncation(docs: DataFrame, key: str, text: str, source: str, sample:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(p, pa.float64())], names=["k", "s", "p"])
 
     schema = f"k {docs.schema[key].dataType.simpleString()}, s {docs.schema[source].dataType.simpleString()}, p double"
-    scored = rows.mapInArrow(score, schema)
+    scored = spread(rows).mapInArrow(score, schema)
     return scored.select(F.col("k").alias(key), F.col("s").alias(source), F.col("p").alias("p_cut"), (F.col("p") > 0.5).alias("is_cut"))
 
 
