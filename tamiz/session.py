@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,3 +71,13 @@ def spread(df: DataFrame) -> DataFrame:
     if "Exchange" in plan or "AdaptiveSparkPlan" in plan or execution.toRdd().getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable on the executors, once per application; nothing to do where ``PYTHONPATH`` has it."""
+    context, home = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "_tamiz_shipped", False) or str(home) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    folder = tempfile.mkdtemp(prefix="tamiz-")
+    context.addPyFile(shutil.make_archive(f"{folder}/tamiz", "zip", root_dir=home, base_dir="tamiz"))
+    context._tamiz_shipped = True

@@ -327,3 +327,16 @@ def test_http_source(spark, tmp_path):
     finally:
         server.shutdown()
     assert sorted((r.html or "", r.status or 0) for r in rows) == [("", 0), ("<p>hola</p>", 200)]
+
+
+def test_only_small_scans_are_spread(spark, tmp_path):
+    from tamiz.session import spread
+
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    scan = spark.read.parquet(str(tmp_path / "one"))
+    moved = spread(scan.where("id >= 0"))
+    assert moved.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and moved.count() == 100
+    grouped = scan.groupBy("id").count()
+    assert spread(grouped) is grouped
+    wide = spark.range(0, 100, 1, 64)
+    assert spread(wide) is wide
