@@ -54,6 +54,7 @@ def title_tokens(text: str | None) -> list[str]:
     if text is None:
         return []
     t = re.sub(r"^\W*proyecto de ley\s*:", "", fold(text))
+    t = re.sub(r"\b([^\W\d_]{2,5})\.(e?s)\b", r"\1\2.", t)  # the plural of an abbreviation
     out = []
     for m in _TOKEN.finditer(t):
         w = m.group()

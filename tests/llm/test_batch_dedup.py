@@ -28,6 +28,7 @@ def test_titles():
     t = title_tokens(TITLE)
     for other in ["POR MED. DE LA CUAL SE REGULA LA ATENCION DE PACIENTES Y SE DICTAN OTRAS DISP.", "“Por mdeio de la cual se regula la atenció de pacientes y se dictan otras disposiciones.”", "Proyecto de ley: " + TITLE, TITLE.replace("ó", "?")]:
         assert same_title(t, title_tokens(other)), other
+    assert same_title(title_tokens("La auditoría de programas de código"), title_tokens("La auditoría de prog.s de código"))
     for other in [TITLE + ", excepto en el municipio de Tapa", "Por medio de la cual se corrige un yerro", ""]:
         assert not same_title(t, title_tokens(other)), other
     assert figures(title_tokens("Ley l2 de 2O15")) == "12 2015"
