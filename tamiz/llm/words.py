@@ -1,4 +1,7 @@
-"""Words of a text as they are compared: no case, accents, punctuation, mark-up, line breaks or odd spacing."""
+"""Words of a text as they are compared: no case, accents, punctuation, mark-up, line breaks or odd spacing.
+
+:func:`word_arrays` does the same as :func:`cased_words` and :func:`words` for a whole Arrow batch at once.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,15 @@ import html
 import re
 import unicodedata
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
+
 _TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}>")
-_HYPHEN = re.compile(r"(\w)[-\u00ad\u2010\u2011]\s*\n\s*(\w)")
-_INVISIBLE = re.compile(r"[\u00ad\u200b-\u200f\u2060\ufeff]")
+_HYPHEN = re.compile(r"([^\W_])[-­‐‑][ \t\r\n]*\n[ \t\r\n]*(?=[^\W_])")
+_INVISIBLE = re.compile(r"[­​-‏⁠﻿]")
+_MARK = regex.compile(r"\p{M}")
 _WORD = re.compile(r"[^\W_]+")
 _ASCII = re.compile(r"[\x00-\x7f]*\Z")
 _FOLD = str.maketrans("áéíóúüñàèìòùâêîôûãõçäëïöÁÉÍÓÚÜÑÀÈÌÒÙÂÊÎÔÛÃÕÇÄËÏÖ", "aeiouunaeiouaeiouaocaeioAEIOUUNAEIOUAEIOUAOCAEIO")
@@ -21,11 +30,11 @@ def plain(text: str) -> str:
     if "&" in text:
         text = html.unescape(text)
     if "\n" in text:
-        text = _HYPHEN.sub(r"\1\2", text)
+        text = _HYPHEN.sub(r"\1", text)
     text = text.translate(_FOLD)
     if not _ASCII.match(text):
         text = _INVISIBLE.sub("", text)
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+        text = _MARK.sub("", unicodedata.normalize("NFKD", text))
     return text
 
 
@@ -39,6 +48,34 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(plain(text).casefold()) if text else []
 
 
+def faces(word: str) -> bool:
+    """True if a cased word looks like a name or a figure."""
+    return word[0].isupper() or any(c.isdigit() for c in word)
+
+
+def word_arrays(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a batch of texts: distinct words without case, and of each word in order its number among them, the number
+    of its text, and whether it :func:`faces`."""
+    t = pc.fill_null(texts.cast(pa.string()), "")
+    t = pc.replace_substring_regex(t, r"</?[A-Za-z][^<>]{0,200}>", " ")
+    entities = pc.match_substring(t, "&")
+    if pc.any(entities).as_py():
+        t = pc.replace_with_mask(t, entities, pa.array([html.unescape(x) for x in t.filter(entities).to_pylist()], pa.string()))
+    t = pc.replace_substring_regex(t, "([\\pL\\pN])[-­‐‑][ \\t\\r\\n]*\\n[ \\t\\r\\n]*([\\pL\\pN])", r"\1\2")
+    t = pc.replace_substring_regex(t, "[­​-‏⁠﻿]", "")
+    t = pc.replace_substring_regex(pc.utf8_normalize(t, form="NFKD"), r"\pM", "")
+    split = pc.split_pattern_regex(t, r"[^\pL\pN]+")
+    parent, flat = pc.list_parent_indices(split), pc.list_flatten(split)
+    filled = pc.not_equal(flat, "")
+    encoded = pc.dictionary_encode(flat.filter(filled))
+    cased = encoded.dictionary.to_pylist()
+    numbers: dict[str, int] = {}
+    lower = np.array([numbers.setdefault(w.casefold(), len(numbers)) for w in cased], dtype=np.int32)
+    facing = np.array([faces(w) for w in cased], dtype=bool)
+    at = encoded.indices.to_numpy(zero_copy_only=False)
+    return list(numbers), lower[at] if len(at) else at.astype(np.int32), parent.filter(filled).to_numpy(zero_copy_only=False).astype(np.int64), facing[at] if len(at) else at.astype(bool)
+
+
 def told_words(text: str | None) -> list[tuple[str, bool]]:
     """Words with their case, each with whether it is telling: a figure, or capitalised though no sentence begins there."""
     if not text:
@@ -47,7 +84,7 @@ def told_words(text: str | None) -> list[tuple[str, bool]]:
     out, end = [], 0
     for m in _WORD.finditer(base):
         word, between = m.group(), base[end : m.start()]
-        opens = end == 0 or any(c in ".!?:\n\u2026" for c in between)
+        opens = end == 0 or any(c in ".!?:\n…" for c in between)
         out.append((word, any(c.isdigit() for c in word) or (word[0].isupper() and not opens)))
         end = m.end()
     return out

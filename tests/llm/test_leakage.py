@@ -6,8 +6,12 @@ import random
 
 import pytest
 
-from tamiz.llm.leakage import find_leaks, holds_passage, positional_index, seed_positions
-from tamiz.llm.words import cased_words, told_words, words
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tamiz.llm import leakage
+from tamiz.llm.leakage import find_leaks, holds_passage, positional_index, postings, seed_positions
+from tamiz.llm.words import cased_words, faces, told_words, word_arrays, words
 
 ITEM = (
     "Quien herede un predio de 3113 metros en Lleñeyota debe notificar a Yopayolu dentro de 68 días, adjuntando el croquis sellado "
@@ -68,6 +72,61 @@ def test_empty_tables(spark):
 
 def test_index_holds_every_token(spark):
     docs = spark.createDataFrame([(1, "uno dos uno"), (2, None), (3, "")], "doc_id bigint, text string")
-    rows = positional_index(docs, "doc_id", "text").collect()
-    assert sorted((r.token, r.doc, r["at"], r.around) for r in rows) == [("dos", 1, 1, ["uno", "uno"]), ("uno", 1, 0, ["dos", "uno"]), ("uno", 1, 2, ["uno", "dos"])]
-    assert seed_positions(["a", "b", "c"], {"a": 5, "b": 1, "c": 9}) == {0, 1}
+    rows = postings(positional_index(docs, "doc_id", "text")).collect()
+    assert sorted((r.token, r.doc, r["at"]) for r in rows) == [("dos", 1, 1), ("uno", 1, 0), ("uno", 1, 2)]
+
+
+def test_seeds_are_words_of_the_corpus():
+    assert seed_positions(["a", "b", "c"], {"a": 5, "b": 1}) == {0, 1}
+    passage = [f"w{i}" for i in range(12)]
+    assert seed_positions(passage, {w: i + 1 for i, w in enumerate(passage) if i > 1}) == set(range(2, 8))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(), st.text(alphabet="aÁñß1½ <b>&amp;-\n\u0301\u00ad_'İΣ漢"))))
+def test_words_of_batches_are_those_of_texts(texts):
+    import pyarrow as pa
+
+    tokens, code, doc, facing = word_arrays(pa.array(texts, pa.string()))
+    want = [(i, w.casefold(), faces(w)) for i, t in enumerate(texts) for w in cased_words(t)]
+    assert [(int(d), tokens[c], bool(f)) for d, c, f in zip(doc, code, facing, strict=True)] == want
+
+
+def test_rarest_words_of_a_passage_may_be_the_changed_ones(spark):
+    """Two of the rarest words of a quote of seventeen were replaced by common ones; the corpus has neither."""
+    passage = "Quien herede un predio de tres cuartas en el valle debe notificar al comisario ambulante dentro de quince días hábiles, adjuntando croquis"
+    quote = " ".join(passage.split()[:17]).replace("cuartas", "partes").replace("ambulante", "siguiente")
+    docs = [(1, "Consta que " + quote + " y nada más."), *[(i, f"En el valle se debe notificar al comisario dentro de {i} días un predio de tres partes siguiente") for i in range(2, 60)]]
+    assert holds_passage(cased_words(quote), told_words(passage))
+    got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(7, passage)], "item_id bigint, text string"), "doc_id", "text", "item_id", "text").collect()
+    assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)]
+
+
+def test_every_allowed_edit_is_found(spark, monkeypatch):
+    """Random quotes with random edits against brute force over all pairs, in small segments and blocks of passages."""
+    rng = random.Random(3)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(300)]
+    word = lambda: rng.choice(common) if rng.random() < 0.5 else rng.choice(rare)
+    items = [(i, " ".join(word() for _ in range(rng.randint(12, 60)))) for i in range(20)]
+    docs = []
+    for i in range(300):
+        w = rng.choice(items)[1].split()
+        size = rng.randint(10, len(w)) if len(w) > 12 else len(w)
+        a = rng.randint(0, len(w) - size)
+        w = w[a : a + size]
+        for _ in range(rng.randint(0, len(w) // 4)):
+            at = rng.randrange(len(w))
+            kind = rng.random()
+            w[at : at + 1] = [word()] if kind < 0.5 else [] if kind < 0.75 else [w[at], "nuevo"]
+            if not w:
+                break
+        docs.append((i, " ".join([word() for _ in range(rng.randint(0, 40))] + w + [word() for _ in range(rng.randint(0, 40))])))
+    want = {(d, i) for d, t in docs for i, p in items if holds_passage(cased_words(t), told_words(p))}
+    assert len(want) > 100
+    monkeypatch.setattr(leakage, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(leakage, "MOST_HITS", 500)
+    monkeypatch.setattr(leakage, "MOST_CELLS", 5000)
+    got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), "doc_id", "text", "item_id", "text").collect()
+    assert want <= {(r.doc_id, r.item_id) for r in got} and len(got) == len({(r.doc_id, r.item_id) for r in got})
+    extra = {(r.doc_id, r.item_id) for r in got} - want
+    assert len(extra) <= 0.02 * len(want), extra
