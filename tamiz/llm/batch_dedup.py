@@ -1,19 +1,20 @@
 """Deduplication of new batches against everything accepted before.
 
-An index of accepted records is kept on disk: for each record its minwise band keys with its signature (the values that say
-what it is), partitioned by hash of the key. A new batch is brought to canonical forms, equal forms are merged, and its band
-keys are joined with the index, so that only records of matching buckets are compared; similarity is then verified word by
-word. What the index does not hold is resolved inside the batch in order of arrival, and the keys of the records accepted are
-appended. The history itself is never read again.
+An index of accepted records is kept on disk, partitioned by hash: a row holds a record's minwise band keys as its signature,
+and its title once. A new batch is brought to canonical forms and equal forms are merged; its band keys meet the index only
+in the buckets that its own keys fall into, and the index is streamed past them without being moved. What shares a key is
+verified word by word. What the index does not hold is resolved inside the batch in order of arrival, and the records
+accepted are appended. Buckets are split as the index grows, so that what a batch reads grows with the batch.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,14 @@ from tamiz.session import spread, staged, work_path
 #: Band keys of a record, each the least hash of its character triples under its own seed. Two titles that share half of
 #: their triples agree in at least one of twelve but for one case in four thousand.
 BANDS = 12
-#: Parts of the index.
-BUCKETS = 16
+#: Records of a bucket of the index, on the mean, beyond which all buckets are split; least buckets.
+BUCKET_RECORDS, LEAST_BUCKETS = 65_536, 16
+#: Most forms of a batch whose band keys are broadcast to the index (some 150 MB); those of larger ones are shuffled with it.
+BROADCAST_FORMS = 200_000
+#: Most buckets that are named to the scan one by one.
+NAMED_BUCKETS = 4_096
+#: Different forms of one identity that pass through one task; larger groups are settled in rounds by all tasks.
+HOT_FORMS = 10_000
 
 _SEEDS = np.array([0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF for k in range(BANDS)], dtype=np.uint64)
 _SHIFT, _FACTOR = np.uint64(33), np.uint64(0xFF51AFD7ED558CCD)
@@ -110,7 +117,7 @@ def canonical_rows(rows: DataFrame, model: PairModel | None = None) -> DataFrame
 
     ``rows`` has ``raw_id, no_camara, no_senado, proyecto, detail_url``; others are ignored. ``identity`` joins bill number
     and year, Senate number, page and the figures of the title; NULL and blank fields are empty there. Rows whose bill
-    number is NULL or blank are left out. ``model`` restores garbled titles first.
+    number is NULL or blank are left out. ``raw_id`` is unique. ``model`` restores garbled titles first.
     """
 
     def canon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,142 +147,251 @@ def canonical_rows(rows: DataFrame, model: PairModel | None = None) -> DataFrame
     return spread(picked).mapInArrow(canon, "raw_id bigint, identity string, title string")
 
 
-def with_bands(forms: DataFrame) -> DataFrame:
-    """One row for each band key of ``first, identity, title``; repeated keys of one record once."""
+_FORM = "first bigint, identity string, title string, place bigint, signature array<bigint>"
+_RESOLVED = f"{_FORM}, leader bigint"
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def signed_forms(canonical: DataFrame) -> DataFrame:
+    """Distinct forms of :func:`canonical_rows`: ``first`` row, ``identity``, ``title``, ``place`` (hash of the identity) and
+    ``signature`` (band keys)."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            made = [sorted(set(band_keys(i, t))) for i, t in zip(b.column("identity").to_pylist(), b.column("title").to_pylist(), strict=True)]
-            rows = pa.array([i for i, ks in enumerate(made) for _ in ks], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array([k for ks in made for k in ks], pa.int64()), *(b.column(c).take(rows) for c in ("first", "identity", "title"))], names=["band", "first", "identity", "title"])
+            keys = [band_keys(i, t) for i, t in zip(b.column("identity").to_pylist(), b.column("title").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.list_(pa.int64()))], names=["first", "identity", "title", "place", "signature"])
+
+    forms = canonical.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
+    # Few bytes, but much work for each: spread over all cores, whatever the bytes say.
+    forms = forms.repartition(int(canonical.sparkSession.conf.get("spark.sql.shuffle.partitions")), "identity")
+    return forms.select("first", "identity", "title", F.xxhash64("identity").alias("place")).mapInArrow(sign, _FORM)
 
-    return forms.select("first", "identity", "title").mapInArrow(keys, "band bigint, first bigint, identity string, title string")
+
+def _bucket(buckets: int) -> F.Column:
+    return F.pmod("place", F.lit(buckets)).cast("int")
 
 
 class BatchIndex:
-    """The persistent index of accepted records, and the check of batches against it."""
+    """The persistent index of accepted records, and the check of batches against it.
+
+    Below ``path``: a state file for each step, made only if no other writer made it, and folders of resolved forms,
+    partitioned by ``kind`` (accepted or repeat) and bucket. Folders that no state names are left-overs of failed steps.
+    """
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark = spark
-        self.path = path or work_path(spark, "batch-index")
-        self.parts = self._present()
-
-    def _present(self) -> list[str]:
-        """Key folders of the batches that an index on disk already holds, complete ones only."""
-        jvm = self.spark._jvm
-        at = jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys")
-        fs = at.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        parts: list[str] = []
-        while fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.path}/keys/batch={len(parts)}/_SUCCESS")):
-            parts.append(f"{self.path}/keys/batch={len(parts)}")
-        return parts
-
-    def _bands(self) -> DataFrame:
-        return self.spark.read.schema("band bigint, first bigint, identity string, title string, bucket int").option("basePath", f"{self.path}/keys").parquet(*self.parts)
-
-    def check(self, rows: DataFrame) -> str:
-        """Checks a batch of :func:`canonical_rows`, appends what is new to the index, and gives the folder of the result.
-
-        That holds ``identity, title, first, leader`` of each distinct form, ``leader`` being the accepted row that says the
-        same, the first such; ``first`` itself, where it is accepted.
+        self.path = (path or work_path(spark, "batch-index")).rstrip("/")
+        #: Buckets, folders of the index, accepted records, and number of the last step.
+        self.state: dict = {"step": -1, "buckets": LEAST_BUCKETS, "folders": [], "records": 0}
+        fs, at = self._fs()
+        if fs.exists(at(self.path)):
+            names = [x.getPath().getName() for x in fs.listStatus(at(self.path)) if x.getPath().getName().startswith("_state-")]
+            if names:
+                stream = fs.open(at(f"{self.path}/{max(names)}"))
+                self.state = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+                stream.close()
+
+    def _fs(self):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path
+        return at(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _commit(self, **changes) -> None:
+        self.state = self.state | changes | {"step": self.state["step"] + 1}
+        fs, at = self._fs()
+        out = fs.create(at(f"{self.path}/_state-{self.state['step']:012d}"), False)
+        out.write(bytearray(json.dumps(self.state).encode()))
+        out.close()
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """Accepted records, of all or the given buckets."""
+        rows = self._parts(self.state["folders"]).where("kind = 'accepted'")
+        return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
+
+    def candidates(self, forms: DataFrame, size: int) -> DataFrame | None:
+        """``first, accepted, theirs``: forms with the accepted records that share a band key, each pair once."""
+        if not self.state["folders"]:
+            return None
+        count = self.state["buckets"]
+        touched = [r["b"] for r in forms.select(_bucket(count).alias("b")).distinct().collect()] if count <= NAMED_BUCKETS or size < NAMED_BUCKETS else None
+        small = F.broadcast if size <= BROADCAST_FORMS else lambda df: df
+        held = self.read(touched).select("place", F.col("first").alias("accepted"), F.col("title").alias("theirs"), F.col("signature").alias("keys"))
+        # Records of other identities are dropped before the keys are laid out.
+        held = held.join(small(forms.select("place").distinct()), "place", "left_semi").select("accepted", "theirs", "keys", F.explode("keys").alias("band"))
+        mine = forms.select("first", "signature", F.explode("signature").alias("band"))
+        met = held.join(small(mine), "band")
+        return met.where(F.element_at(F.array_intersect("signature", "keys"), 1) == F.col("band")).select("first", "accepted", "theirs")
+
+    def check(self, forms: DataFrame) -> str:
+        """Checks a batch of :func:`signed_forms`, appends what is new to the index, and gives the folder of the result.
+
+        That holds the forms with ``leader``, the accepted row that says the same, the first such; their own ``first`` where
+        they are accepted. An empty batch changes nothing but the number of the step.
         """
-        number = len(self.parts)
-        forms = rows.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
-        # Few bytes, but much work for each: spread over all cores, whatever the bytes say.
-        forms = forms.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), "identity")
-        if self.parts:
-            banded = with_bands(forms)
-            held = self._bands().select(F.col("band").alias("key"), "bucket", F.col("first").alias("accepted"), F.col("title").alias("theirs"))
-            met = banded.join(held, (F.col("band") == F.col("key")) & (F.pmod("band", F.lit(BUCKETS)).cast("int") == F.col("bucket")))
-            met = met.select("identity", "title", "first", "accepted", "theirs").distinct()
-
-            def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    good = [i for i, (x, y) in enumerate(zip(b.column("title").to_pylist(), b.column("theirs").to_pylist(), strict=True)) if x == y or same_title(x.split(), y.split())]
-                    kept = b.take(pa.array(good, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([kept.column(c) for c in ("identity", "title", "accepted")], names=["identity", "title", "accepted"])
-
-            matched = met.mapInArrow(verify, "identity string, title string, accepted bigint").groupBy("identity", "title").agg(F.min("accepted").alias("accepted"))
-            forms = forms.join(matched, ["identity", "title"], "left")
-        else:
-            forms = forms.withColumn("accepted", F.lit(None).cast("bigint"))
-        result, part = f"{self.path}/forms/batch={number}", f"{self.path}/keys/batch={number}"
-        resolve_in_order(forms).write.mode("overwrite").parquet(result)
-        fresh = self.spark.read.schema(_RESOLVED).parquet(result).where("leader = first")
-        keyed = with_bands(fresh).withColumn("bucket", F.pmod(F.col("band"), F.lit(BUCKETS)).cast("int"))
-        keyed.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(part)
-        self.parts.append(part)
-        return result
+        size = forms.count()
+        found = self.candidates(forms, size)
+        hot = [r["place"] for r in forms.groupBy("place").count().where(F.col("count") > HOT_FORMS).select("place").collect()] if size > HOT_FORMS else []
+        usual = forms.where(~F.col("place").isin(hot)) if hot else forms
+        resolved = resolve_in_order(usual, found, self.state["buckets"])
+        if hot:
+            resolved = resolved.unionByName(settle_in_rounds(forms.where(F.col("place").isin(hot)), found))
+        folder = f"part=step-{self.state['step'] + 1}-{uuid.uuid4().hex[:8]}"
+        kind = F.when(F.col("leader") == F.col("first"), "accepted").otherwise("repeat")
+        laid = resolved.withColumn("kind", kind).withColumn("bucket", F.when(kind == "accepted", _bucket(self.state["buckets"])).otherwise(0))
+        laid.write.partitionBy("kind", "bucket").parquet(f"{self.path}/{folder}")
+        fresh = self._parts([folder]).where("leader = first").count()
+        self._commit(folders=[*self.state["folders"], *[folder] * bool(fresh)], records=self.state["records"] + fresh)
+        if self.state["records"] > 2 * BUCKET_RECORDS * self.state["buckets"]:
+            self._split()
+        return folder
+
+    def _split(self) -> None:
+        """Writes the index anew in enough buckets, in one folder; the work is that of the appends since the last time."""
+        count = LEAST_BUCKETS
+        while count * BUCKET_RECORDS < 2 * self.state["records"]:
+            count *= 2
+        folder = f"part=split-{self.state['step'] + 1}-{uuid.uuid4().hex[:8]}"
+        laid = self.read().drop("part").withColumn("bucket", _bucket(count))
+        laid.repartition(min(count, 4096), "bucket").write.partitionBy("kind", "bucket").parquet(f"{self.path}/{folder}")
+        self._commit(folders=[folder], buckets=count)
+
+    def _parts(self, folders: list[str]) -> DataFrame:
+        schema = f"{_RESOLVED}, part string, kind string, bucket int"
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*[f"{self.path}/{f}" for f in folders])
 
     def accept(self, rows: DataFrame) -> DataFrame:
-        """:meth:`check`, as ``raw_id, leader`` of every row of the batch. An empty batch gives an empty result."""
-        resolved = self.spark.read.schema(_RESOLVED).parquet(self.check(rows))
-        return rows.join(resolved.drop("first"), ["identity", "title"]).select("raw_id", "leader")
-
+        """:meth:`check` of a batch of :func:`canonical_rows`, as ``raw_id, leader`` of each of its rows."""
+        rows = staged(rows, "batch-canonical")
+        return self.leaders(rows, [self.check(staged(signed_forms(rows), "batch-forms"))])
 
-_RESOLVED = "identity string, title string, first bigint, leader bigint"
+    def leaders(self, rows: DataFrame, folders: list[str]) -> DataFrame:
+        """``raw_id, leader`` of rows whose forms were resolved into ``folders``."""
+        return rows.join(self._parts(folders).select("identity", "title", "leader"), ["identity", "title"]).select("raw_id", "leader")
 
 
-def resolve_in_order(forms: DataFrame) -> DataFrame:
-    """``identity, title, first, leader`` of distinct forms, in order of arrival.
+def resolve_in_order(forms: DataFrame, found: DataFrame | None, buckets: int) -> DataFrame:
+    """``forms`` with their ``leader``, in order of arrival.
 
-    ``accepted`` is the leader of forms that the index holds, else NULL. The others of one identity pass through one task as
-    a sorted stream of which only the accepted ones are remembered, by band key; a form is compared with those that share a
-    key with it. Equal copies have been merged before, so a hot identity sends no more than its different writings.
+    ``found``: accepted records that a form may repeat (see :meth:`BatchIndex.candidates`). Forms of one identity pass through
+    one task as a sorted stream, each followed by its candidates; only those accepted are remembered, by band key, and a form
+    is compared with those that share a key with it.
     """
+    names = ["first", "identity", "title", "place", "signature", "leader"]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: str | None = None
-        buckets: dict[int, list[int]] = {}
+        near: dict[int, list[int]] = {}
         remembered: dict[int, list[str]] = {}
-        for f in frames:
-            leaders = []
-            for identity, title, first, accepted in zip(f["identity"], f["title"], f["first"], f["accepted"], strict=True):
-                if not pd.isna(accepted):
-                    leaders.append(int(accepted))
-                    continue
-                if identity != current:
-                    current, buckets, remembered = identity, {}, {}
-                tokens, keys = title.split(), band_keys(identity, title)
-                near = sorted({a for k in keys for a in buckets.get(k, ())})
-                leader = next((a for a in near if same_title(tokens, remembered[a])), int(first))
-                if leader == first:
-                    remembered[leader] = tokens
-                    for k in set(keys):
-                        buckets.setdefault(k, []).append(leader)
-                leaders.append(leader)
-            yield f[["identity", "title", "first"]].assign(leader=leaders)
-
-    ordered = forms.select("identity", "title", "first", F.col("accepted").cast("string").alias("accepted")).repartition(int(forms.sparkSession.conf.get("spark.sql.shuffle.partitions")), "identity").sortWithinPartitions("identity", "first")
-    return ordered.mapInPandas(run, "identity string, title string, first bigint, leader bigint")
-
-
-def arrival_steps(rows: DataFrame, load: str, order: str) -> list[tuple[list[int], int, int]]:
-    """Loads in order of arrival, those whose rows arrive intermingled taken together: ``(loads, least, greatest order)``."""
-    spans = sorted((r["lo"], r["hi"], r["l"]) for r in rows.groupBy(F.col(load).alias("l")).agg(F.min(order).alias("lo"), F.max(order).alias("hi")).collect())
-    steps: list[tuple[list[int], int, int]] = []
-    for lo, hi, one in spans:
-        if steps and lo <= steps[-1][2]:
-            steps[-1] = ([*steps[-1][0], one], steps[-1][1], max(hi, steps[-1][2]))
-        else:
-            steps.append(([one], lo, hi))
-    return steps
+        out: list[tuple] = []
+        form: tuple | None = None
+        leader: int | None = None
+
+        def settle() -> None:
+            nonlocal current, near, remembered
+            first, identity, title, _, signature = form
+            if leader is not None:
+                out.append((*form, leader))
+                return
+            if identity != current:
+                current, near, remembered = identity, {}, {}
+            tokens = title.split()
+            own = next((a for a in sorted({a for k in signature for a in near.get(k, ())}) if same_title(tokens, remembered[a])), first)
+            if own == first:
+                remembered[first] = tokens
+                for k in set(signature):
+                    near.setdefault(k, []).append(first)
+            out.append((*form, own))
+
+        for b in batches:
+            for *one, accepted, theirs in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if form is None or one[0] != form[0]:
+                    if form is not None:
+                        settle()
+                    form, leader = tuple(one), None
+                if accepted is not None and leader is None and (theirs == form[2] or same_title(form[2].split(), theirs.split())):
+                    leader = accepted
+            if len(out) >= 4096:
+                yield _resolved_batch(out, names)
+                out = []
+        if form is not None:
+            settle()
+        yield _resolved_batch(out, names)
+
+    rows = forms.select(*names[:5], F.lit(None).cast("bigint").alias("accepted"), F.lit(None).cast("string").alias("theirs"))
+    if found is not None:
+        rows = rows.unionByName(forms.select(*names[:5]).join(found, "first").select(*names[:5], "accepted", "theirs"))
+    ordered = rows.repartition(buckets, _bucket(buckets)).sortWithinPartitions("place", "identity", "first", F.asc_nulls_first("accepted"))
+    return ordered.mapInArrow(run, _RESOLVED)
+
+
+def _resolved_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _verified(pairs: DataFrame) -> DataFrame:
+    """``first, leader``: of ``first, title, accepted, theirs`` the least accepted record that says the same as the form."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = [i for i, (x, y) in enumerate(zip(b.column("title").to_pylist(), b.column("theirs").to_pylist(), strict=True)) if x == y or same_title(x.split(), y.split())]
+            kept = b.take(pa.array(good, pa.int64()))
+            yield pa.RecordBatch.from_arrays([kept.column("first"), kept.column("accepted")], names=["first", "accepted"])
+
+    return pairs.select("first", "title", "accepted", "theirs").mapInArrow(verify, "first bigint, accepted bigint").groupBy("first").agg(F.min("accepted").alias("leader"))
+
+
+def settle_in_rounds(forms: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The same as :func:`resolve_in_order` by all tasks together, for identities with very many different forms.
+
+    In each round those open forms are accepted that are the first open ones under all their band keys, since nothing before
+    them can be like them; every later form is then compared with the one record newly accepted under each of its keys.
+    """
+    state = forms.withColumn("leader", F.lit(None).cast("bigint")).withColumn("past", F.lit(False))
+    if found is not None:
+        old = _verified(forms.join(found, "first"))
+        state = forms.join(old, "first", "left").withColumn("past", F.col("leader").isNotNull())
+    state = staged(state, "hot-forms")
+    while not state.where("leader IS NULL").isEmpty():
+        laid = state.where("leader IS NULL").select("first", F.explode(F.array_distinct("signature")).alias("band"))
+        least = laid.groupBy("band").agg(F.min("first").alias("least"))
+        fresh = laid.join(least, "band").groupBy("first").agg(F.bool_and(F.col("least") == F.col("first")).alias("free")).where("free").select("first")
+        fresh = staged(fresh.join(state.select("first", "title", "signature"), "first"), "hot-accepted")
+        keys = fresh.select(F.col("first").alias("accepted"), F.col("title").alias("theirs"), F.col("signature").alias("keys"), F.explode(F.array_distinct("signature")).alias("band"))
+        # What the index holds came before all of the batch; other repeats may still find an earlier record.
+        mine = state.where("NOT past AND (leader IS NULL OR leader <> first)").select("first", "title", "signature", F.explode(F.array_distinct("signature")).alias("band"))
+        pairs = mine.join(keys, "band").where((F.col("first") > F.col("accepted")) & (F.element_at(F.array_intersect("signature", "keys"), 1) == F.col("band")))
+        said = _verified(pairs).withColumnRenamed("leader", "now")
+        own = fresh.select("first", F.lit(True).alias("fresh"))
+        leader = F.when(F.col("fresh"), F.col("first")).otherwise(F.least("leader", "now"))
+        state = staged(state.join(said, "first", "left").join(own, "first", "left").select(*forms.columns, leader.alias("leader"), "past"), "hot-forms")
+    return state.drop("past")
+
+
+def arrival_steps(rows: DataFrame, load: str, order: str, held: int = 0) -> list[tuple[int, int]]:
+    """Ranges of ``order`` that are checked one after the other: a new one begins where a load first appears.
+
+    Rows of a load that come late belong to the range in which they arrive. Loads that wait are taken together as long as
+    they are no more than what was taken before them (``held`` records at first), so that k of them need some log k steps.
+    """
+    spans = sorted((r["lo"], r["n"]) for r in rows.groupBy(F.col(load).alias("l")).agg(F.min(order).alias("lo"), F.count(F.lit(1)).alias("n")).collect())
+    if not spans:
+        return []
+    starts: list[int] = []
+    before, own = held, 0
+    for lo, n in spans:
+        if not starts or own + n > before:
+            before, own = before + own, 0
+            starts.append(lo)
+        own += n
+    return [(a, b - 1) for a, b in zip(starts, [*starts[1:], 1 << 63], strict=True)]
 
 
 def deduplicate_batches(rows: DataFrame, load: str, model: PairModel | None = None, path: str | None = None) -> DataFrame:
-    """``raw_id, leader`` of all rows of all batches, checked batch by batch in order of arrival against one growing index."""
-    spark = rows.sparkSession
-    steps = arrival_steps(rows, load, "raw_id")
+    """``raw_id, leader`` of all rows of all batches, checked step by step in order of arrival against one growing index."""
     canonical = staged(canonical_rows(rows, model), "batch-canonical")
-    index = BatchIndex(spark, path)
-    before = len(index.parts)
-    for _, lo, hi in steps:
-        index.check(canonical.where(F.col("raw_id").between(lo, hi)))
-    if not steps:
-        return canonical.select("raw_id", F.col("raw_id").alias("leader"))
-    # Rows meet the forms of their own batch in one join for all batches.
-    number = F.lit(-1)
-    for k, (_, lo, hi) in enumerate(steps):
-        number = F.when(F.col("raw_id").between(lo, hi), before + k).otherwise(number)
-    resolved = spark.read.schema(f"{_RESOLVED}, batch int").parquet(f"{index.path}/forms").drop("first")
-    return canonical.withColumn("batch", number).join(resolved, ["batch", "identity", "title"]).select("raw_id", "leader")
+    forms = staged(signed_forms(canonical), "batch-forms")
+    index = BatchIndex(rows.sparkSession, path)
+    folders = [index.check(forms.where(F.col("first").between(lo, hi))) for lo, hi in arrival_steps(rows, load, "raw_id", index.state["records"])]
+    return index.leaders(canonical, folders)

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import random
 
-from tamiz.llm.batch_dedup import BatchIndex, arrival_steps, band_keys, canonical_rows, deduplicate_batches, edits, resolve_in_order, same_title
+import pytest
+from pyspark.sql import functions as F
+
+from tamiz.llm import batch_dedup
+from tamiz.llm.batch_dedup import BatchIndex, arrival_steps, band_keys, canonical_rows, deduplicate_batches, edits, same_title, signed_forms
 from tamiz.llm.batch_forms import address, figures, numbered, title_tokens
 
 SCHEMA = "raw_id bigint, load_no int, no_camara string, no_senado string, proyecto string, detail_url string"
@@ -50,27 +54,73 @@ def test_planted_cases(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 8: 3, 9: 9, 10: 9, 11: 5, 12: 12}
 
 
-def test_replay_equals_brute_force(spark):
-    rng = random.Random(4)
-    topics = ["la atención de pacientes con dengue", "el crédito a productores de cacao", "la señalización de vías rurales", "el fomento de bandas de viento"]
-    made, accepted, want = [], [], {}
-    for i in range(1, 301):
-        title = f"Por medio de la cual se regula {rng.choice(topics)} y se fija un plazo de {rng.randint(1, 4)} meses"
-        written = title
-        if rng.random() < 0.4:
-            at = rng.randint(25, 50)
-            written = title[:at] + rng.choice(["", "x", title[at] * 2]) + title[at + 1 :] if not title[at].isdigit() else title
-        bill = rng.choice(["001/2020C"] * 3 + ["002/2020C", "003/2020C"])
-        made.append((i, 1 + i // 60, bill, rng.choice([None, "5/20S"]), written, URL))
+def replay(spark, made):
+    """Leaders by comparing every row with all accepted ones of its identity."""
+    accepted, want = [], {}
     canonical = {r.raw_id: r for r in canonical_rows(spark.createDataFrame(made, SCHEMA)).collect()}
-    for i, *_ in made:
+    for i in sorted(canonical):
         c = canonical[i]
         leader = next((a for a in accepted if canonical[a].identity == c.identity and same_title(canonical[a].title.split(), c.title.split())), i)
         want[i] = leader
         if leader == i:
             accepted.append(i)
+    return want
+
+
+def writings(n=300, seed=4):
+    rng = random.Random(seed)
+    topics = ["la atención de pacientes con dengue", "el crédito a productores de cacao", "la señalización de vías rurales", "el fomento de bandas de viento"]
+    made = []
+    for i in range(1, n + 1):
+        title = f"Por medio de la cual se regula {rng.choice(topics)} y se fija un plazo de {rng.randint(1, 4)} meses"
+        written = title
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            at = rng.randint(25, 50)
+            written = written[:at] + rng.choice(["", "x", written[at] * 2]) + written[at + 1 :] if not written[at].isdigit() else written
+        bill = rng.choice(["001/2020C"] * 3 + ["002/2020C", "003/2020C"])
+        made.append((i, 1 + i // (n // 6), bill, rng.choice([None, "5/20S"]), written, URL))
+    return made
+
+
+@pytest.mark.parametrize("hot", [10_000, 5])
+def test_replay_equals_brute_force(spark, monkeypatch, hot):
+    """With ``hot`` forms of one identity at most in a task: beyond, the rounds must give the same."""
+    monkeypatch.setattr(batch_dedup, "HOT_FORMS", hot)
+    made = writings(300 if hot > 5 else 60)
+    got = {r.raw_id: r.leader for r in deduplicate_batches(spark.createDataFrame(made, SCHEMA), "load_no").collect()}
+    assert got == replay(spark, made)
+
+
+def test_late_rows_belong_to_the_step_in_which_they_arrive(spark):
+    made = [(i, 1 if i % 50 == 0 else load, *rest) for i, load, *rest in writings(200)]
     got = {r.raw_id: r.leader for r in deduplicate_batches(spark.createDataFrame(made, SCHEMA), "load_no").collect()}
-    assert got == want
+    assert got == replay(spark, made)
+
+
+def test_what_a_batch_reads_grows_with_the_batch(spark, tmp_path, monkeypatch):
+    """Batches of twenty records, one at a time: records read of the index after 3 and after 15 batches."""
+    monkeypatch.setattr(batch_dedup, "BUCKET_RECORDS", 2)
+    monkeypatch.setattr(batch_dedup, "LEAST_BUCKETS", 4)
+    index = BatchIndex(spark, str(tmp_path / "index"))
+    read = {}
+    for k in range(16):
+        rows = [(k * 20 + i, k, f"{k * 20 + i}/2020C", None, TITLE, URL) for i in range(20)]
+        if k in (3, 15):
+            forms = signed_forms(canonical_rows(spark.createDataFrame(rows, SCHEMA)))
+            touched = [r.b for r in forms.select(F.pmod("place", F.lit(index.state["buckets"])).alias("b")).distinct().collect()]
+            read[k] = index.read(touched).count()
+        if k < 15:
+            index.accept(canonical_rows(spark.createDataFrame(rows, SCHEMA))).count()
+    assert index.state["records"] == 15 * 20 == index.read().count() and index.state["buckets"] > 16
+    assert read[15] < 2 * max(read[3], 60) and read[15] < 0.6 * index.state["records"]
+
+
+def test_two_writers_cannot_both_commit(spark, tmp_path):
+    forms = signed_forms(canonical_rows(spark.createDataFrame(rows(), SCHEMA)))
+    one, two = (BatchIndex(spark, str(tmp_path / "index")) for _ in range(2))
+    one.check(forms)
+    with pytest.raises(Exception, match="already exists"):
+        two.check(forms)
 
 
 def test_index_persists_and_takes_empty_batches(spark, tmp_path):
@@ -84,12 +134,14 @@ def test_index_persists_and_takes_empty_batches(spark, tmp_path):
     got = deduplicate_batches(spark.createDataFrame(later, SCHEMA), "load_no", path=str(tmp_path / "index")).collect()
     assert {r.raw_id: r.leader for r in got} == {20: 1, 21: 21}
     empty = spark.createDataFrame([], SCHEMA)
-    assert deduplicate_batches(empty, "load_no").collect() == [] and resolve_in_order(canonical_rows(empty).selectExpr("identity", "title", "raw_id AS first", "CAST(NULL AS BIGINT) AS accepted")).collect() == []
+    assert deduplicate_batches(empty, "load_no").collect() == []
 
 
-def test_intermingled_loads_are_one_step(spark):
-    df = spark.createDataFrame([(1, 1), (5, 1), (3, 2), (9, 3)], "raw_id bigint, load_no int")
-    assert [s[0] for s in arrival_steps(df, "load_no", "raw_id")] == [[1, 2], [3]]
+def test_steps_begin_where_a_load_first_appears(spark):
+    df = spark.createDataFrame([(1, 1), (2, 1), (5, 1), (3, 2), (9, 3), (10, 4), (11, 4), (12, 4), (13, 4)], "raw_id bigint, load_no int")
+    last = (1 << 63) - 1
+    assert arrival_steps(df, "load_no", "raw_id") == [(1, 2), (3, 9), (10, last)]
+    assert arrival_steps(df, "load_no", "raw_id", 100) == [(1, last)] and arrival_steps(df.where("false"), "load_no", "raw_id") == []
 
 
 def test_similar_titles_share_a_band():
