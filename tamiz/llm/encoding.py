@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +43,19 @@ SIGNS = "¿¡“”«»‘’–—ºª°\xa0"
 LOST = "�"
 #: Lead bytes whose continuation left no visible character (a soft hyphen or a control), and the letters they stand for.
 HALF = {"ÃƒÂ": "íÍÁ", "ãƒâ": "íá", "Ã": "íÍÁ", "ã": "íá", "Ă": "íÍÁ", "Г": "í", "Â": "\xa0"}
-#: Most accented words kept for the choice of lost letters, the most frequent ones.
-WORDS = 20_000
+#: Most accented words that may be held for the choice of lost letters (some 100 MB); more are an error, none is left out.
+MOST_WORDS = 500_000
+#: Score of a pair that no correct text holds (a replacement mark), and least score of a no-break space beside a letter.
+MARKED, BESIDE = 12.0, 1.0
 #: Words of plain and Spanish letters with at least one accented one, for the table above.
 _WORD = re.compile(f"[A-Za-z]*[{LETTERS}][A-Za-z{LETTERS}]*")
 _BLANKED = re.compile(f"[{LETTERS}?{LOST}]")
 _SPACED = re.compile(f"[A-Za-z{LETTERS}]+\xa0[A-Za-z{LETTERS}]+")
 _HOLED = re.compile(f"[A-Za-z{LETTERS}?{LOST}]+")
+#: What any mapping can act on: a character other than plain and Spanish letters and signs of ASCII, a question mark, or two
+#: characters beyond ASCII in a row. A text without is as it was, whatever its runs.
+SUSPECT = f"[^\\x00-\\x7f{LETTERS}]|\\?|[^\\x00-\\x7f]{{2}}"
+_SUSPECT = re.compile(SUSPECT)
 
 
 @dataclass
@@ -96,10 +103,11 @@ def padded(text: str) -> str:
 
 
 def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
-    """Pairs of adjacent characters in all values of ``columns``, and their accented words; ends of values count as line breaks.
+    """Pairs of adjacent characters in all values of ``columns``, and accented words; ends of values count as line breaks.
 
-    Equal values count once, so that a text delivered over and over does not look probable, garbled as it may be. What is
-    counted (a row for each pair and word) is kept in a small table.
+    Equal values count once, so that a text delivered over and over does not look probable, garbled as it may be. Of the
+    accented words all those are kept that a word with a lost letter somewhere in the corpus may be. What is counted (a row
+    for each pair and word) is kept in a small table.
     """
     values = docs.select(F.explode(F.array(*columns)).alias("v")).where("v <> ''").distinct()
 
@@ -108,12 +116,14 @@ def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
 
         pairs: Counter[str] = Counter()
         words: Counter[str] = Counter()
+        holed: Counter[str] = Counter()
 
         def flush() -> pa.RecordBatch:
-            kinds = ["p"] * len(pairs) + ["w"] * len(words)
-            out = pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([*pairs, *words], pa.string()), pa.array([*pairs.values(), *words.values()], pa.int64())], names=["kind", "item", "n"])
-            pairs.clear()
-            words.clear()
+            kinds = ["p"] * len(pairs) + ["w"] * len(words) + ["h"] * len(holed)
+            counts = [*pairs.values(), *words.values(), *holed.values()]
+            out = pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([*pairs, *words, *holed], pa.string()), pa.array(counts, pa.int64())], names=["kind", "item", "n"])
+            for c in (pairs, words, holed):
+                c.clear()
             return out
 
         for b in batches:
@@ -121,7 +131,8 @@ def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
                 p = padded(t)
                 pairs.update(map(str.__add__, p, p[1:]))
                 words.update(w.lower() for w in _WORD.findall(t))
-            if len(pairs) + len(words) > 200_000:
+                holed.update(_needed(t))
+            if len(pairs) + len(words) + len(holed) > 200_000:
                 yield flush()
         yield flush()
 
@@ -139,11 +150,26 @@ def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
     folded = by_pair.mapInArrow(fold, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     pairs = {(r["a"], r["b"]): r["n"] for r in folded.collect()}
     words: dict[str, list[tuple[int, str]]] = {}
-    for r in counted.where("kind = 'w'").orderBy(F.desc("n"), "item").limit(WORDS).collect():
-        words.setdefault(_BLANKED.sub("\0", r["item"]), []).append((r["n"], r["item"]))
+    blank = F.translate("item", LETTERS + "?" + LOST, "_" * (len(LETTERS) + 2))
+    needed = counted.where("kind = 'h'").select(F.col("item").alias("form"))
+    held = counted.where("kind = 'w'").select("item", "n", blank.alias("form")).join(needed, "form", "left_semi").limit(MOST_WORDS + 1).collect()
+    if len(held) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} accented words for words with lost letters")
+    for r in held:
+        words.setdefault(r["form"], []).append((r["n"], r["item"]))
     return PairModel(alphabet, pairs, sum(pairs.values()), words)
 
 
+def _needed(text: str) -> set[str]:
+    """Forms, without accents and lost letters, of the words of ``text`` that may have lost a letter."""
+    found: set[str] = set()
+    if LOST in text or "?" in text:
+        found.update(_BLANKED.sub("_", w.lower()) for w in _HOLED.findall(text) if "?" in w or LOST in w)
+    if "\xa0" in text:
+        found.update(_BLANKED.sub("_", w.replace("\xa0", "á").lower()) for w in _SPACED.findall(text))
+    return found
+
+
 def improbable_runs(text: str, model: PairModel, cost: dict[tuple[str, str], float]) -> list[tuple[int, int]]:
     """All maximal scoring segments of improbable pairs, as half-open ranges of character positions in ``text``.
 
@@ -157,7 +183,12 @@ def improbable_runs(text: str, model: PairModel, cost: dict[tuple[str, str], flo
         w = cost.get(pair)
         if w is None:
             a, b = pair
-            w = cost[pair] = max(-6.0, min(12.0, model.floor - model.information(model.symbol(a), model.symbol(b))))
+            w = max(-6.0, min(12.0, model.floor - model.information(model.symbol(a), model.symbol(b))))
+            if LOST in pair:
+                w = MARKED
+            elif a == "\xa0" and b.isalpha() or b == "\xa0" and a.isalpha():
+                w = max(w, BESIDE)
+            cost[pair] = w
         before, total = total, total + w
         if w <= 0:
             continue
@@ -239,7 +270,7 @@ def _fits_case(ch: str, before: str, after: str) -> bool:
 def _spelt(word: str, model: PairModel) -> str | None:
     """The most frequent known word that ``word`` with its lost letters may be, in its letter case."""
     low = word.lower()
-    for _, known in sorted(model.words.get(_BLANKED.sub("\0", low), ()), reverse=True):
+    for _, known in sorted(model.words.get(_BLANKED.sub("_", low), ()), reverse=True):
         if all(a == b or a in "?" + LOST for a, b in zip(low, known, strict=True)):
             upper = sum(c.isupper() for c in word) > sum(c.islower() for c in word)
             return "".join(a if a not in "?" + LOST else b.upper() if upper else b for a, b in zip(word, known, strict=True))
@@ -248,31 +279,33 @@ def _spelt(word: str, model: PairModel) -> str | None:
 
 def repair(text: str, model: PairModel, cost: dict[tuple[str, str], float]) -> tuple[str, bool]:
     """``text`` with its garbled parts restored where they can be told, and whether any part is garbled."""
-    garbled = LOST in text
-    odd = set()
+    if not _SUSPECT.search(text):
+        return text, False
+    odd: set[int] = set()
     for a, b in improbable_runs(text, model, cost):
         odd.update(range(a, b))
-    if not odd and not garbled:
+    if not odd:
         return text, False
+    garbled = any(text[i] == LOST for i in odd)
     lost: dict[int, str] = {}
     if LOST in text or "?" in text:
         for m in _HOLED.finditer(text):
             w = m.group()
-            holes = [k for k, c in enumerate(w) if c == LOST or c == "?" and (m.start() + k) in odd]
+            holes = [k for k, c in enumerate(w) if c in "?" + LOST and m.start() + k in odd]
             if holes and len(w) > len(holes) and (known := _spelt(w, model)):
                 lost.update((m.start() + k, known[k]) for k in holes)
     if "\xa0" in text:
         # A no-break space is what one table shows for á: only inside what is then a known word.
         for m in _SPACED.finditer(text):
             w = m.group().replace("\xa0", "á")
-            if any(known == w.lower() and k >= 3 for k, known in model.words.get(_BLANKED.sub("\0", w.lower()), ())):
+            if m.start() + m.group().index("\xa0") in odd and any(known == w.lower() and k >= 3 for k, known in model.words.get(_BLANKED.sub("_", w.lower()), ())):
                 lost[m.start() + m.group().index("\xa0")] = "á"
     floor = math.log2((2.5 + 2e-7 * model.total) / (model.total + 1))
     out: list[str] = []
     i, n = 0, len(text)
     while i < n:
         ch = text[i]
-        if i not in odd and i not in lost and ch != LOST or ch.isascii() and ch != "?":
+        if i not in odd or ch.isascii() and ch != "?":
             out.append(ch)
             i += 1
             continue
@@ -377,9 +410,9 @@ def find_garbled(docs: DataFrame, key: str, columns: list[str], model: PairModel
         for b in batches:
             rows, fields, old, new = [], [], [], []
             for name, column in zip(columns, b.columns[1:], strict=True):
-                for i, t in enumerate(column.to_pylist()):
-                    if not t:
-                        continue
+                # Values on which no mapping can act are passed over, a batch at a time.
+                at = pc.indices_nonzero(pc.fill_null(pc.match_substring_regex(column, SUSPECT), False))
+                for i, t in zip(at.to_pylist(), column.take(at).to_pylist(), strict=True):
                     if (got := known.get(t)) is None:
                         if len(known) > 20_000 or len(t) > 2_000:
                             known.clear()

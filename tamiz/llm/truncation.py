@@ -16,7 +16,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamiz.session import spread
@@ -130,48 +131,83 @@ def fit(examples: np.ndarray, labels: np.ndarray, rounds: int = 120, ridge: floa
     return weights
 
 
+def _least_hashes(rows: DataFrame, sample: int) -> int:
+    """The hash up to which ``h`` of ``rows`` has at most ``sample`` distinct values, nearly as many if there are more.
+
+    A first pass estimates how many there are; a second collects a share of the hashes, little more than ``sample``.
+    """
+    top = (1 << 63) - 1
+    seen = rows.agg(F.approx_count_distinct("h", 0.02).alias("n")).first()["n"]
+    share = 1.2 * sample / max(1, seen)
+    below = rows if share >= 1 else rows.where(F.col("h") < int(-top + 2 * top * share))
+    found = sorted(r["h"] for r in below.select("h").distinct().limit(2 * sample).collect())
+    return found[sample - 1] if len(found) >= sample else found[-1] if found else top
+
+
 def train(docs: DataFrame, key: str, text: str, source: str, limits: dict[str, list[tuple[str, int]]], sample: int = SAMPLE) -> np.ndarray:
-    """Weights trained on at most ``sample`` texts, those with the least hash, each as it is and cut artificially twice."""
-    chosen = (
-        docs.where(F.length(F.trim(F.col(text))) >= 12)
-        .select(F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s"), F.col(text).alias("t"))
-        .orderBy("h", "s")
-        .limit(sample)
-    )
+    """Weights trained on at most ``sample`` texts, those with the least hash, each as it is and cut artificially twice.
+
+    Texts are cut where they are; only features leave their task. The models of a round are fitted by tasks of their own.
+    """
+    spark = docs.sparkSession
+    rows = docs.where(F.length(F.trim(F.col(text))) >= 12).select(
+        F.xxhash64(F.col(key).cast("string"), F.col(text)).alias("h"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("s"), F.col(text).alias("t")
+    )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            rows, labels, folds = [], [], []
+            hashes, examples, labels, folds = [], [], [], []
             for h, s, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if h in seen:
+                    continue
+                seen.add(h)
                 own, rng = limits.get(s, []), random.Random(h)
                 fold = zlib.crc32(t[-120:].encode()) % FOLDS
                 limited = at_limit(len(t), len(t.encode()), own)
-                if not limited or _END.search(t):  # what stops at a limit inside a sentence is no intact example
-                    rows.append(features(t[-TAIL:], limited, bool(own)).tolist())
-                    labels.append(0)
+                made = [(t, limited, 0)] if not limited or _END.search(t) else []  # what stops at a limit inside a sentence is no intact example
+                made += [(*cut, 1) for cut in (cut_artificially(t, own, rng) for _ in range(2)) if cut]
+                for tail, at, label in made:
+                    hashes.append(h)
+                    examples.append(features(tail[-TAIL:], at, bool(own)).tolist())
+                    labels.append(label)
                     folds.append(fold)
-                for _ in range(2):
-                    if made := cut_artificially(t, own, rng):
-                        rows.append(features(made[0][-TAIL:], made[1], bool(own)).tolist())
-                        labels.append(1)
-                        folds.append(fold)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(labels, pa.int32()), pa.array(folds, pa.int32())], names=["x", "y", "fold"])
-
-    made = chosen.mapInArrow(make, "x array<int>, y int, fold int").toPandas()
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(examples, pa.list_(pa.int32())), pa.array(labels, pa.int32()), pa.array(folds, pa.int32())], names=["h", "x", "y", "fold"])
+
+    chosen = rows.where(F.col("h") <= _least_hashes(rows, sample))
+    # Copies of a row give the same examples; those of one task stand in a group.
+    made = spread(chosen).mapInArrow(make, "h bigint, x array<int>, y int, fold int").distinct().toPandas().sort_values(["h", "y", "fold"], kind="stable")
     if made.empty:
         return np.zeros(WIDTH)
-    x, y = np.array(made["x"].tolist(), dtype=np.int32), made["y"].to_numpy().astype(float)
+    fold, y = made["fold"].to_numpy(), made["y"].to_numpy().astype(float)
+    shared = spark.sparkContext.broadcast((np.array(made["x"].tolist(), dtype=np.int32), y, fold))
     # An intact example is doubted by models that have not seen its closing characters, else a cut text hides by being known.
-    fold = made["fold"].to_numpy()
     keep = np.ones(len(y), dtype=bool)
     for _ in range(ROUNDS):
         doubted = np.zeros(len(y), dtype=bool)
-        for k in range(FOLDS):
-            out = fold == k
-            if keep[~out].any() and out.any():
-                doubted[out] = fit(x[keep & ~out], y[keep & ~out])[x[out]].sum(1) > 0
+        for k, said in _fitted(spark, shared, keep, range(FOLDS)).items():
+            doubted[fold == k] = np.frombuffer(said, dtype=bool)
         keep = (y == 1) | ~doubted
-    return fit(x[keep], y[keep])
+    weights = np.frombuffer(_fitted(spark, shared, keep, range(FOLDS, FOLDS + 1))[FOLDS])
+    shared.unpersist()
+    return weights
+
+
+def _fitted(spark: SparkSession, shared: Broadcast, keep: np.ndarray, folds: range) -> dict[int, bytes]:
+    """A model for each of ``folds``, fitted without it by a task of its own: what it takes for cut in it, or for a fold that
+    no example has, its weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, y, fold = shared.value
+        for b in batches:
+            for k in b.column(0).to_pylist():
+                out = fold == k
+                weights = fit(x[keep & ~out], y[keep & ~out]) if (keep & ~out).any() else np.zeros(WIDTH)
+                said = (weights[x[out]].sum(1) > 0).tobytes() if k < FOLDS else weights.tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([said], pa.binary())], names=["k", "said"])
+
+    rows = spark.range(folds.start, folds.stop, 1, len(folds)).mapInArrow(run, "k bigint, said binary").collect()
+    return {r["k"]: bytes(r["said"]) for r in rows}
 
 
 def score_truncation(docs: DataFrame, key: str, text: str, source: str, sample: int = SAMPLE) -> DataFrame:

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
-from tamiz.llm.encoding import PairModel, find_garbled, improbable_runs, pair_counts, repair
+from tamiz.llm.encoding import SUSPECT, PairModel, find_garbled, improbable_runs, pair_counts, repair
 
 BASE = [
     "Por medio de la cual se regula la atención de pacientes con cáncer", "Por la cual se fortalece la educación pública en la región", "Su objeto es la señalización de vías y la revisión técnica",
@@ -81,3 +82,22 @@ def test_segments_are_those_of_brute_force():
         got = improbable_runs(text, model, cost)
         assert sum(b - a for a, b in got) >= 0 and {k for a, b in got for k in range(a, b)} >= {k for a, b in want for k in range(a, b)}
     assert repair("", model, {}) == ("", False)
+
+
+def test_more_words_than_can_be_held_are_an_error(spark, monkeypatch):
+    """Every accented word that a lost letter may need is held, or it is an error; none is left out."""
+    from tamiz.llm import encoding
+
+    texts = [(i, f"La acción número {i} de la región y la canción") for i in range(20)] + [(99, "La acci?n de la regi�n y la canci?n")]
+    df = spark.createDataFrame(texts, "rec_id bigint, titulo string")
+    assert sum(map(len, pair_counts(df, ["titulo"]).words.values())) == 3
+    monkeypatch.setattr(encoding, "MOST_WORDS", 2)
+    with pytest.raises(ValueError, match="accented words"):
+        pair_counts(df, ["titulo"])
+
+
+def test_texts_without_suspects_are_left_as_they_are():
+    model = PairModel(frozenset(), {}, 0)
+    for t in ["", "Ley", "La acción de la región ÑANDÚ, 2º"]:
+        assert not re.search(SUSPECT, t) or "º" in t
+        assert repair(t.replace("º", ""), model, {}) == (t.replace("º", ""), False)

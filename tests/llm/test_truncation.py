@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from tamiz.llm.truncation import at_limit, cut_artificially, length_limits, score_truncation, truncation_rates
+from tamiz.llm.truncation import _least_hashes, at_limit, cut_artificially, length_limits, score_truncation, truncation_rates
 
 CLOSINGS = ["", "\n\nAnexos: 12 folios", "\n\nAtentamente,\n\nPonente coordinador", "\n\nVotos a favor | 3\nVotos en contra | 9"]
 NOUNS = "comisión ponencia proyecto informe artículo secretaría medida audiencia votación provincia gobierno reglamento plazo".split()
@@ -62,3 +62,10 @@ def test_limits_in_bytes_and_cuts():
         made = cut_artificially("Una frase entera. Otra frase algo más larga que sigue", [("c", 20)], rng)
         assert made is None or made[0]
     assert cut_artificially("x", [], rng) is None
+
+
+def test_sample_is_the_least_hashes(spark):
+    rows = spark.range(5000).selectExpr("xxhash64(id % 4000) AS h")
+    want = sorted(r.h for r in rows.distinct().collect())
+    assert want[290] <= _least_hashes(rows, 300) <= want[299]
+    assert _least_hashes(rows, 10_000) == want[-1] and _least_hashes(rows.where("false"), 5) == (1 << 63) - 1
