@@ -17,7 +17,7 @@ from difflib import SequenceMatcher
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.llm.batch_forms import address, figures, numbered, title_tokens
@@ -31,6 +31,8 @@ BANDS = 12
 BUCKET_RECORDS, LEAST_BUCKETS = 65_536, 16
 #: Most forms of a batch whose band keys are broadcast to the index (some 150 MB); those of larger ones are shuffled with it.
 BROADCAST_FORMS = 200_000
+#: Forms that a task resolves, on the mean, in a large batch.
+FORMS_PER_TASK = 20_000
 #: Most buckets that are named to the scan one by one.
 NAMED_BUCKETS = 4_096
 #: Different forms of one identity that pass through one task; larger groups are settled in rounds by all tasks.
@@ -206,12 +208,11 @@ class BatchIndex:
         rows = self._parts(self.state["folders"]).where("kind = 'accepted'")
         return rows if buckets is None else rows.where(F.col("bucket").isin(buckets))
 
-    def candidates(self, forms: DataFrame, size: int) -> DataFrame | None:
-        """``first, accepted, theirs``: forms with the accepted records that share a band key, each pair once."""
+    def candidates(self, forms: DataFrame, size: int, touched: list[int] | None) -> DataFrame | None:
+        """``first, accepted, theirs``: forms with the accepted records that share a band key, each pair once; only the
+        buckets ``touched`` are read, if they are given."""
         if not self.state["folders"]:
             return None
-        count = self.state["buckets"]
-        touched = [r["b"] for r in forms.select(_bucket(count).alias("b")).distinct().collect()] if count <= NAMED_BUCKETS or size < NAMED_BUCKETS else None
         small = F.broadcast if size <= BROADCAST_FORMS else lambda df: df
         held = self.read(touched).select("place", F.col("first").alias("accepted"), F.col("title").alias("theirs"), F.col("signature").alias("keys"))
         # Records of other identities are dropped before the keys are laid out.
@@ -226,18 +227,23 @@ class BatchIndex:
         That holds the forms with ``leader``, the accepted row that says the same, the first such; their own ``first`` where
         they are accepted. An empty batch changes nothing but the number of the step.
         """
-        size = forms.count()
-        found = self.candidates(forms, size)
+        fallen = forms.groupBy(_bucket(self.state["buckets"]).alias("b")).count().limit(NAMED_BUCKETS + 1).collect()
+        known = len(fallen) <= NAMED_BUCKETS
+        size = sum(r["count"] for r in fallen) if known else forms.count()
+        found = self.candidates(forms, size, [r["b"] for r in fallen] if known else None)
         hot = [r["place"] for r in forms.groupBy("place").count().where(F.col("count") > HOT_FORMS).select("place").collect()] if size > HOT_FORMS else []
         usual = forms.where(~F.col("place").isin(hot)) if hot else forms
-        resolved = resolve_in_order(usual, found, self.state["buckets"])
+        tasks = max(self.spark.sparkContext.defaultParallelism, size // FORMS_PER_TASK)
+        resolved = resolve_in_order(usual, found, self.state["buckets"], min(tasks, self.state["buckets"]))
         if hot:
             resolved = resolved.unionByName(settle_in_rounds(forms.where(F.col("place").isin(hot)), found))
         folder = f"part=step-{self.state['step'] + 1}-{uuid.uuid4().hex[:8]}"
         kind = F.when(F.col("leader") == F.col("first"), "accepted").otherwise("repeat")
         laid = resolved.withColumn("kind", kind).withColumn("bucket", F.when(kind == "accepted", _bucket(self.state["buckets"])).otherwise(0))
+        seen = Observation()
+        laid = laid.observe(seen, F.count(F.when(F.col("leader") == F.col("first"), 1)).alias("fresh"))
         laid.write.partitionBy("kind", "bucket").parquet(f"{self.path}/{folder}")
-        fresh = self._parts([folder]).where("leader = first").count()
+        fresh = seen.get["fresh"]
         self._commit(folders=[*self.state["folders"], *[folder] * bool(fresh)], records=self.state["records"] + fresh)
         if self.state["records"] > 2 * BUCKET_RECORDS * self.state["buckets"]:
             self._split()
@@ -269,7 +275,7 @@ class BatchIndex:
         return rows.join(self._parts(folders).select("identity", "title", "leader"), ["identity", "title"]).select("raw_id", "leader")
 
 
-def resolve_in_order(forms: DataFrame, found: DataFrame | None, buckets: int) -> DataFrame:
+def resolve_in_order(forms: DataFrame, found: DataFrame | None, buckets: int, tasks: int) -> DataFrame:
     """``forms`` with their ``leader``, in order of arrival.
 
     ``found``: accepted records that a form may repeat (see :meth:`BatchIndex.candidates`). Forms of one identity pass through
@@ -320,7 +326,7 @@ def resolve_in_order(forms: DataFrame, found: DataFrame | None, buckets: int) ->
     rows = forms.select(*names[:5], F.lit(None).cast("bigint").alias("accepted"), F.lit(None).cast("string").alias("theirs"))
     if found is not None:
         rows = rows.unionByName(forms.select(*names[:5]).join(found, "first").select(*names[:5], "accepted", "theirs"))
-    ordered = rows.repartition(buckets, _bucket(buckets)).sortWithinPartitions("place", "identity", "first", F.asc_nulls_first("accepted"))
+    ordered = rows.repartition(tasks, _bucket(buckets)).sortWithinPartitions("place", "identity", "first", F.asc_nulls_first("accepted"))
     return ordered.mapInArrow(run, _RESOLVED)
 
 

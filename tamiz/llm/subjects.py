@@ -1,7 +1,9 @@
 """Subjects of documents by class-association rules.
 
 Words and pairs of neighbouring words of labelled records are items, their subjects class items. Items that always occur
-together are merged; frequent itemsets are mined with parallel frequent-pattern growth; itemsets that lead to a subject are
+together are merged; frequent itemsets are mined by parallel frequent-pattern growth: each frequent pattern is grown by one
+item at a time in the records projected on it, all patterns together and up to three items, and only towards subjects of
+which it is not sure yet, since no longer pattern can be surer. Itemsets that lead to a subject are
 rules, and a rule is dropped where a more general one is as sure. A record's evidence for a subject is the noisy-or of its
 matching rules, those of another subject that are more specific overriding the more general; it is turned into a probability by an isotonic calibration on
 records whose bills took no part in mining. Rows without a probable subject have the subject of none.
@@ -16,8 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamiz.llm.encoding import PairModel, repair
@@ -26,17 +27,18 @@ from tamiz.session import spread, staged
 
 #: Words that make no item: fixed values.
 STOP = frozenset("de la el los las del por que con para en al y o su sus un una sobre contra entre se lo a e medio cual".split())
-#: Bills that must hold an item; least confidence of a rule; most items of its antecedent.
-MIN_BILLS, MIN_CONFIDENCE, MAX_ITEMS = 2, 0.5, 3
+#: Bills that must hold an item; least confidence of a rule.
+MIN_BILLS, MIN_CONFIDENCE = 2, 0.5
 #: Least support of an item or itemset, as a share of the labelled records, and as a number of them.
 MIN_SHARE, MIN_COUNT = 1e-4, 2
 #: Least certainty of a rule: by how much of the way from the subject's share to one the items raise its confidence.
 MIN_CERTAINTY = 0.4
-#: Most rules and most items that are broadcast, the shortest and most frequent first.
-MOST_RULES = 100_000
+#: Most rules, and most items that they stand for, that are held and broadcast (some 100 MB); more are an error, none is left out.
+MOST_RULES, MOST_ITEMS = 200_000, 1_000_000
 #: Weight, in records, of a subject's share in the estimate of a rule's confidence.
 PRIOR = 2.0
-_CLASS = "\tclass:"
+#: What is mined at once: the records without each half of the bills, and all records.
+VIEWS = range(3)
 
 
 def text_items(texts: list[str | None]) -> list[str]:
@@ -100,55 +102,131 @@ def record_items(rows: DataFrame, keys: list[str], texts: list[str], model: Pair
     return rows.select(*keys, *texts).mapInArrow(make, schema)
 
 
-def mine_rules(labelled: DataFrame) -> tuple[list[tuple[frozenset[str], str, float]], dict[str, str]]:
-    """Rules and merged items of ``tid, bill, items, subjects`` (one row for each labelled record).
+Rules = tuple[list[tuple[frozenset[str], str, float]], dict[str, str]]
 
-    Records with equal items and subjects count once.
-    """
+
+def _any_view(condition) -> Column:
+    """True where ``condition`` holds in any view."""
+    out = condition(0)
+    for v in VIEWS[1:]:
+        out = out | condition(v)
+    return out
+
+
+def _counted(rows: DataFrame, pattern: list[str], *more: Column) -> DataFrame:
+    """``pattern, subject, n0..n2, k0..k2``: for each pattern and subject the records of each view that hold the pattern, and
+    those of them that have the subject. ``rows`` has a row for each record and pattern of it."""
+    laid = rows.withColumn("subject", F.explode(F.concat(F.array(F.lit("")), "subjects")))
+    counts = laid.groupBy(*pattern, "subject").agg(*[F.count(F.when(F.col(f"v{v}"), 1)).alias(f"k{v}") for v in VIEWS], *more)
+    extra = [c for c in counts.columns if c not in (*pattern, "subject", *[f"k{v}" for v in VIEWS])]
+    whole = counts.where("subject = ''").select(*pattern, *[F.col(f"k{v}").alias(f"n{v}") for v in VIEWS], *extra)
+    return counts.where("subject <> ''").select(*pattern, "subject", *[f"k{v}" for v in VIEWS]).join(whole, pattern)
+
+
+def mine_views(labelled: DataFrame) -> list[Rules]:
+    """Rules and merged items of ``bill, items, subjects, half`` (a row for each labelled record): of the records without
+    half 0, of those without half 1, and of all, mined in one pass. Records with equal items and subjects count once."""
     once = labelled.groupBy(F.xxhash64("items", F.array_sort("subjects")).alias("tid")).agg(
-        F.first("items").alias("items"), F.first("subjects").alias("subjects"), F.min("bill").alias("bill")
-    )
-    once = staged(once, "subject-records")
-    total = once.count()
-    if not total:
-        return [], {}
-    least = max(MIN_COUNT, math.ceil(MIN_SHARE * total))
-    single = once.select("tid", "bill", "subjects", F.explode("items").alias("item"))
-    stats = single.groupBy("item").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("bill").alias("bills"), F.bit_xor("tid").alias("records"))
-    by_class = single.select("item", F.explode("subjects").alias("subject")).groupBy("item", "subject").agg(F.count(F.lit(1)).alias("k"))
-    telling = (
-        by_class.groupBy("item").agg(F.max("k").alias("k")).join(stats, "item")
-        .where((F.col("bills") >= MIN_BILLS) & (F.col("n") >= least) & (F.col("k") >= MIN_CONFIDENCE * F.col("n")))
+        F.first("items").alias("items"), F.first(F.array_distinct("subjects")).alias("subjects"), F.lit(True).alias("v2"), F.min("bill").alias("b2"),
+        *[F.bool_or(F.col("half") != v).alias(f"v{v}") for v in (0, 1)], *[F.min(F.when(F.col("half") != v, F.col("bill"))).alias(f"b{v}") for v in (0, 1)],
     )
-    merged = telling.groupBy("n", "records").agg(F.min(F.struct(F.length("item"), "item")).getField("item").alias("stands"), F.collect_list("item").alias("members"))
-    members = merged.select("stands", F.explode("members").alias("item"))
-    items = members.orderBy("item").limit(MOST_RULES).collect()
-    stands_for = {r["item"]: r["stands"] for r in items}
-    kept = single.join(merged.select(F.col("stands").alias("item")), "item").groupBy("tid", "subjects").agg(F.collect_set("item").alias("found"))
-    baskets = kept.select(F.concat("found", F.transform(F.array_distinct("subjects"), lambda s: F.concat(F.lit(_CLASS), s))).alias("items"))
-    grown = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / total, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    sets = grown.freqItemsets.where(F.size("items") <= MAX_ITEMS + 1)
-    classes = F.filter("items", lambda i: i.startswith(_CLASS))
-    split = sets.select(F.array_sort(F.filter("items", lambda i: ~i.startswith(_CLASS))).alias("left"), classes.alias("right"), F.col("freq"))
-    whole = split.where((F.size("right") == 0) & (F.size("left") >= 1)).select("left", F.col("freq").alias("n"))
-    joint = split.where((F.size("right") == 1) & (F.size("left") >= 1)).select("left", F.col("right")[0].alias("class"), F.col("freq").alias("k"))
-    likely = joint.join(whole, "left").where(F.col("k") >= MIN_CONFIDENCE * F.col("n")).withColumn("sure", F.col("k") / (F.col("n") + PRIOR))
-    # A longer rule that no item alone falls short of is dropped here, before anything is collected.
-    alone = likely.where(F.size("left") == 1).select(F.col("left")[0].alias("item"), "class", F.col("sure").alias("alone"))
-    parts = likely.where(F.size("left") > 1).withColumn("item", F.explode("left")).join(alone, ["item", "class"], "left")
-    longer = parts.groupBy("left", "class", "k", "n", "sure").agg(F.max("alone").alias("alone")).where("alone IS NULL OR sure > alone")
-    chosen = likely.where(F.size("left") == 1).select("left", "class", "k", "n").unionByName(longer.select("left", "class", "k", "n"))
-    surest = chosen.orderBy(F.size("left"), F.desc("k"), "left", "class").limit(MOST_RULES)
-    share = {r["s"]: r["n"] / total for r in once.select(F.explode(F.array_distinct("subjects")).alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n")).collect()}
-    found = [(frozenset(r["left"]), r["class"][len(_CLASS) :], r["k"], r["n"]) for r in surest.collect()]
-    rules = []
-    for i, c, k, n in found:
-        base = share.get(c, 0.0)
+    once = staged(spread(once), "subject-records")
+    shares = once.select(F.explode(F.concat(F.array(F.lit("")), "subjects")).alias("s"), "v0", "v1", "v2").groupBy("s").agg(*[F.count(F.when(F.col(f"v{v}"), 1)).alias(f"n{v}") for v in VIEWS])
+    share = {r["s"]: [r[f"n{v}"] for v in VIEWS] for r in shares.collect()}
+    total = share.pop("", [0, 0, 0])
+    least = [max(MIN_COUNT, math.ceil(MIN_SHARE * n)) for n in total]
+
+    def likely(v: int) -> Column:
+        return (F.col(f"k{v}") >= least[v]) & (F.col(f"k{v}") >= MIN_CONFIDENCE * F.col(f"n{v}"))
+
+    def unsure(v: int) -> Column:
+        return (F.col(f"k{v}") >= least[v]) & (F.col(f"k{v}") < F.col(f"n{v}"))
+
+    # Patterns of one item.
+    single = once.select("tid", "subjects", *[f"{c}{v}" for v in VIEWS for c in "vb"], F.explode("items").alias("item"))
+    seen = [x for v in VIEWS for x in (F.min(f"b{v}").alias(f"lo{v}"), F.max(f"b{v}").alias(f"hi{v}"), F.bit_xor(F.when(F.col(f"v{v}"), F.col("tid"))).alias(f"x{v}"))]
+    ones = staged(_counted(single, ["item"], *seen), "subject-items")
+    telling = [F.bool_or(likely(v) & (F.col(f"lo{v}") != F.col(f"hi{v}"))).alias(f"told{v}") for v in VIEWS]
+    stats = ones.groupBy("item").agg(*telling, *[F.first(f"{c}{v}").alias(f"{c}{v}") for v in VIEWS for c in "nx"]).where(_any_view(lambda v: F.col(f"told{v}")))
+    # Items that always occur together are one; in a view, more may be.
+    same = stats.groupBy("n2", "x2").agg(F.min(F.struct(F.length("item"), "item")).getField("item").alias("item"), F.collect_list("item").alias("members"))
+    same = staged(same.drop("n2", "x2").join(stats, "item"), "subject-merged")
+    held = ones.drop(*[f"{c}{v}" for v in VIEWS for c in ("n", "x", "lo", "hi")]).join(same.drop("members"), "item")
+    rules = [held.where(_any_view(lambda v: likely(v) & F.col(f"told{v}"))).select(F.array("item").alias("left"), "subject", *[f"{c}{v}" for v in VIEWS for c in "nk"], *[f"told{v}" for v in VIEWS])]
+    alone = held.select("item", "subject", *[F.when(likely(v), F.col(f"k{v}") / (F.col(f"n{v}") + PRIOR)).alias(f"alone{v}") for v in VIEWS], *[f"told{v}" for v in VIEWS])
+    open_ = staged(held.where(_any_view(unsure)).select("item", "subject", "n2"), "subject-open")
+
+    # Patterns of two: each record is projected on each of its open items, those after it in order of frequency remain.
+    ordered = F.transform(F.array_sort(F.collect_set(F.struct("n2", "item"))), lambda x: x["item"])
+    base = single.select("tid", "item").join(open_.select("item", "n2").distinct(), "item").groupBy("tid").agg(ordered.alias("items"))
+    base = staged(base.where(F.size("items") > 1).join(once.select("tid", "subjects", "v0", "v1", "v2"), "tid"), "subject-open-records")
+    heads = spread(base).select("tid", "subjects", "v0", "v1", "v2", "items", F.posexplode("items").alias("p", "a"))
+    two = heads.select("tid", "subjects", "v0", "v1", "v2", "a", F.explode(F.slice("items", F.col("p") + 2, F.size("items"))).alias("b"))
+    pairs = staged(_counted(two, ["a", "b"]).where(_any_view(lambda v: F.col(f"k{v}") >= least[v])), "subject-pairs")
+    rules.append(_surer(pairs, ["a", "b"], alone, likely))
+
+    # Patterns of three: pairs that are not sure of a subject yet, grown towards it where all their pairs are such.
+    grown = staged(pairs.where(_any_view(unsure)).select("a", "b", "subject"), "subject-grown")
+    towards = two.select("tid", "a", "b", F.explode("subjects").alias("subject")).join(grown, ["a", "b", "subject"]).join(base.select("tid", "items"), "tid")
+    after = F.slice("items", F.array_position("items", F.col("b")).cast("int") + 1, F.size("items"))
+    three = towards.select("a", "b", "subject", F.explode(after).alias("c")).groupBy("a", "b", "c", "subject").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= min(least))
+    for x in "ab":
+        three = three.join(grown.select(F.col("a").alias(x), F.col("b").alias("c"), "subject"), [x, "c", "subject"], "left_semi")
+    three = staged(three.select("a", "b", "c").distinct(), "subject-triples")
+    held3 = two.join(three, ["a", "b"]).join(base.select("tid", "items"), "tid").where(F.array_contains("items", F.col("c"))).select("a", "b", "c", "subjects", "v0", "v1", "v2")
+    rules.append(_surer(_counted(held3, ["a", "b", "c"]), ["a", "b", "c"], alone, likely))
+
+    found = rules[0].unionByName(rules[1]).unionByName(rules[2]).limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules; ask for more support or confidence")
+    used = labelled.sparkSession.createDataFrame([(i,) for i in sorted({i for r in found for i in r["left"]})], "item string")
+    merged = same.join(used, "item", "left_semi").select("item", F.explode("members").alias("member"), *[f"{c}{v}" for v in VIEWS for c in "nx"]).limit(MOST_ITEMS + 1).collect()
+    if len(merged) > MOST_ITEMS:
+        raise ValueError(f"more than {MOST_ITEMS} items in rules; ask for more support or confidence")
+    return [_rules_of(v, found, merged, total[v], {s: n[v] for s, n in share.items()}, least[v]) for v in VIEWS]
+
+
+def _surer(grown: DataFrame, pattern: list[str], alone: DataFrame, likely) -> DataFrame:
+    """Likely rules of several items, all telling, without those that one of the items alone is as sure of, in any view."""
+    rows = grown.where(_any_view(likely))
+    for k, x in enumerate(pattern):
+        names = [F.col(f"alone{v}").alias(f"alone{v}_{k}") for v in VIEWS] + [F.col(f"told{v}").alias(f"told{v}_{k}") for v in VIEWS]
+        rows = rows.join(alone.select(F.col("item").alias(x), "subject", *names), [x, "subject"])
+
+    def told(v: int) -> Column:
+        out = F.col(f"told{v}_0")
+        for k in range(1, len(pattern)):
+            out = out & F.col(f"told{v}_{k}")
+        return out
+
+    def better(v: int) -> Column:
+        best = F.greatest(*[F.coalesce(F.col(f"alone{v}_{k}"), F.lit(-1.0)) for k in range(len(pattern))])
+        return likely(v) & told(v) & (F.col(f"k{v}") / (F.col(f"n{v}") + PRIOR) > best)
+
+    return rows.where(_any_view(better)).select(F.array(*pattern).alias("left"), "subject", *[f"{c}{v}" for v in VIEWS for c in "nk"], *[better(v).alias(f"told{v}") for v in VIEWS])
+
+
+def _rules_of(v: int, found: list, merged: list, total: int, share: dict[str, int], least: int) -> Rules:
+    """Rules of a view, and what each item stands for in it."""
+    stands: dict[tuple[int, int], str] = {}
+    for r in merged:
+        group = (r[f"n{v}"], r[f"x{v}"])
+        if group not in stands or (len(r["item"]), r["item"]) < (len(stands[group]), stands[group]):
+            stands[group] = r["item"]
+    one = {r["item"]: stands[(r[f"n{v}"], r[f"x{v}"])] for r in merged}
+    rules: dict[tuple[frozenset[str], str], float] = {}
+    for r in found:
+        n, k = r[f"n{v}"], r[f"k{v}"]
+        if not r[f"told{v}"] or k < least or k < MIN_CONFIDENCE * n:
+            continue
+        base = share.get(r["subject"], 0) / total
         sure = (k + PRIOR * base) / (n + PRIOR)
         certainty = (sure - base) / (1 - base) if base < 1 else 0.0
         if certainty >= MIN_CERTAINTY:
-            rules.append((i, c, certainty))
-    return prune(rules), stands_for
+            rules[(frozenset(one[i] for i in r["left"]), r["subject"])] = certainty
+    kept = prune([(i, s, c) for (i, s), c in rules.items()])
+    needed = {i for items, _, _ in kept for i in items}
+    return kept, {r["member"]: one[r["item"]] for r in merged if one[r["item"]] in needed}
 
 
 def prune(rules: list[tuple[frozenset[str], str, float]]) -> list[tuple[frozenset[str], str, float]]:
@@ -185,14 +263,13 @@ def train_subjects(rows: DataFrame, labels: DataFrame, key: str, bill: str, text
     prepared = prepared.withColumn("subjects", F.filter("subjects", lambda s: s != none)).withColumn("bill", F.coalesce(F.upper(F.trim("bill")), F.lit("")))
     prepared = staged(prepared, "subject-labelled")
     points: list[tuple[float, bool]] = []
-    for side in (0, 1):
-        rules, stands_for = mine_rules(prepared.where(F.col("half") != side))
+    *parts, whole = mine_views(prepared)
+    for side, (rules, stands_for) in enumerate(parts):
         judge = SubjectRules(rules, stands_for, [])
         test = prepared.where(F.col("half") == side).dropDuplicates(["items"]).orderBy(F.xxhash64("items")).limit(held // 2)
         for r in test.select("items", "subjects").toLocalIterator():
             points += [(round(e, 3), s in r["subjects"]) for s, e in judge.evidence(r["items"]).items()]
-    rules, stands_for = mine_rules(prepared)
-    return SubjectRules(rules, stands_for, isotonic(points))
+    return SubjectRules(*whole, isotonic(points))
 
 
 def score_subjects(rows: DataFrame, key: str, texts: list[str], rules: SubjectRules, none: str, model: PairModel | None, least: float = 0.5) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import random
+import time
 
-from tamiz.llm.subjects import SubjectRules, isotonic, prune, score_subjects, text_items, train_subjects
+import pytest
+
+from tamiz.llm import subjects
+from tamiz.llm.subjects import MIN_BILLS, MIN_CERTAINTY, MIN_CONFIDENCE, MIN_COUNT, PRIOR, SubjectRules, isotonic, mine_views, prune, score_subjects, text_items, train_subjects
 
 MATTERS = {
     "salud": ["la atención de pacientes con dengue", "el registro clínico de tuberculosis", "la vacunación contra el asma"],
@@ -67,3 +72,85 @@ def test_calibration_rises():
 
 def test_items():
     assert text_items([None, "", "La atención de los pacientes, 2020"]) == ["atencion", "atencion pacientes", "pacientes"]
+
+
+LABELLED = "bill string, items array<string>, subjects array<string>, half int"
+
+
+def brute_force(rows):
+    """Rules over all itemsets of up to three items, by definition."""
+    seen, once = set(), []
+    for bill, items, subs, _ in rows:
+        if (key := (tuple(items), tuple(sorted(subs)))) not in seen:
+            seen.add(key)
+            once.append((bill, frozenset(items), frozenset(subs)))
+    total = len(once)
+    share = {c: sum(c in s for _, _, s in once) / total for c in {c for _, _, s in once for c in s}}
+
+    def count(x):
+        held = [(b, s) for b, i, s in once if x <= i]
+        return len(held), {c: sum(c in s for _, s in held) for c in share}, {b for b, _ in held}
+
+    items = sorted({i for _, held, _ in once for i in held})
+    groups = {}
+    for i in items:
+        n, k, bills = count(frozenset({i}))
+        if len(bills) >= MIN_BILLS and any(x >= max(MIN_COUNT, MIN_CONFIDENCE * n) for x in k.values()):
+            groups.setdefault(tuple(i in h for _, h, _ in once), []).append(i)
+    reps = [min(g, key=lambda i: (len(i), i)) for g in groups.values()]
+    rules, alone = [], {}
+    for size in (1, 2, 3):
+        for x in map(frozenset, itertools.combinations(reps, size)):
+            n, k, _ = count(x)
+            for c, hits in k.items():
+                if hits < MIN_COUNT or hits < MIN_CONFIDENCE * n:
+                    continue
+                if size == 1:
+                    alone[(x, c)] = hits / (n + PRIOR)
+                elif any(alone.get((frozenset({i}), c), -1) >= hits / (n + PRIOR) for i in x):
+                    continue
+                sure = (hits + PRIOR * share[c]) / (n + PRIOR)
+                certainty = (sure - share[c]) / (1 - share[c]) if share[c] < 1 else 0
+                if certainty >= MIN_CERTAINTY:
+                    rules.append((x, c, certainty))
+    return {(x, c): round(s, 9) for x, c, s in prune(rules)}
+
+
+def test_rules_equal_brute_force_in_every_view(spark):
+    rng = random.Random(7)
+    words_ = [f"w{i}" for i in range(12)]
+    rows = []
+    for _ in range(400):
+        items = {w for w in words_ if rng.random() < 0.4}
+        subs = set()
+        for c, of in (("a", {"w0", "w1"}), ("b", {"w2", "w3", "w4"}), ("c", {"w5"})):
+            if rng.random() < (0.97 if of <= items else 0.72 if len(of & items) == len(of) - 1 else 0.3 if of & items else 0.02):
+                subs.add(c)
+        if rng.random() < 0.1:
+            subs.add(rng.choice("abcd"))
+        items |= {f"{w} x" for w in items if w in ("w6", "w7")}
+        rows.append((f"bill{rng.randint(0, 40)}", sorted(items), sorted(subs), rng.randint(0, 1)))
+    rows += rows[:20]
+    views = mine_views(spark.createDataFrame(rows, LABELLED))
+    for v, (rules, stands) in enumerate(views):
+        want = brute_force([r for r in rows if r[3] != v])
+        assert {(x, c): round(s, 9) for x, c, s in rules} == want
+        assert all(i in stands for x, _, _ in rules for i in x)
+    assert any(len(x) == 3 for x, _, _ in views[2][0]) and any(len(x) == 2 for x, _, _ in views[2][0])
+
+
+def test_many_shared_words_end_soon(spark):
+    """Records that share sixty telling words, each of which also stands alone somewhere, with subjects that differ."""
+    shared = [f"w{i:02}" for i in range(60)]
+    rows = [(f"b{k}", [*shared, f"own{k}"], [["a"], ["a"], ["a", "b"], ["b"]][k % 4], k % 2) for k in range(8)]
+    rows += [(f"c{i}", [w], ["a"], i % 2) for i, w in enumerate(shared)]
+    began = time.monotonic()
+    mine_views(spark.createDataFrame(rows, LABELLED))
+    assert time.monotonic() - began < 60
+
+
+def test_more_rules_than_can_be_held_are_an_error(spark, monkeypatch):
+    rows = [(f"b{k}", [f"w{k // 3}", f"own{k}"], ["a"], k % 2) for k in range(30)] + [("z", ["x"], ["b"], 0)]
+    monkeypatch.setattr(subjects, "MOST_RULES", 5)
+    with pytest.raises(ValueError, match="rules"):
+        mine_views(spark.createDataFrame(rows, LABELLED))
