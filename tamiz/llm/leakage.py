@@ -33,7 +33,7 @@ SEGMENT_BYTES, SEGMENT_DOCS = 1 << 22, 1 << 16
 #: Most words of test passages that a search holds at once; larger sets take another pass over the index.
 BLOCK_WORDS = 200_000
 #: Hits and cells that a search holds at once within a segment.
-MOST_HITS, MOST_CELLS = 1 << 22, 1 << 22
+MOST_HITS, MOST_CELLS = 1 << 22, 1 << 20
 
 
 def most_edits(words: int) -> int:
@@ -113,12 +113,15 @@ class Segment:
         self.keys, self.tokens = batch.column("keys")[row].values, batch.column("tokens")[row].values
         self.lengths, self.starts, self.docs, self.places = of("lengths", np.int32), of("starts", np.int64), of("docs", np.uint16), of("places", np.int32)
         self.facing = np.unpackbits(of("facing", np.uint8), count=len(self.docs)).astype(bool)
-        self.offsets = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        #: Where each document's first word stands in :meth:`in_order`.
+        self.offsets = (np.cumsum(self.lengths, dtype=np.int64) - self.lengths + np.arange(1, len(self.lengths) + 1)).astype(np.int32 if len(self.docs) < 1 << 30 else np.int64)
 
     def in_order(self) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens by document and place, and whether they look like names or figures: the postings turned around."""
+        """Tokens by document and place, and whether they look like names or figures: the postings turned around. A place
+        without a token stands before and after each document."""
         at = self.offsets[self.docs] + self.places
-        code, facing = np.empty(len(at), dtype=np.int32), np.empty(len(at), dtype=bool)
+        size = len(at) + len(self.lengths) + 1
+        code, facing = np.full(size, -2, dtype=np.int32), np.zeros(size, dtype=bool)
         code[at] = np.repeat(np.arange(len(self.tokens), dtype=np.int32), np.diff(self.starts))
         facing[at] = self.facing
         return code, facing
@@ -267,11 +270,12 @@ class Passages:
             step = max(1, MOST_CELLS // ((2 * wide + 1) * width))
             for k in range(0, len(own), step):
                 i = own[k : k + step]
-                codes = np.where(self.padded[item[i], :width] >= 0, local[self.padded[item[i], :width]], -1)
-                at = base[i, None, None] + np.arange(-wide, wide + 1)[None, :, None] + np.arange(width)[None, None, :]
-                inside = (at >= 0) & (at < s.lengths[doc[i], None, None])
-                there = tokens[np.where(inside, at + s.offsets[doc[i], None, None], 0)]
-                equal = inside & (there == codes[:, None, :]) & (codes >= 0)[:, None, :]
+                codes = np.where(self.padded[item[i], :width] >= 0, local[self.padded[item[i], :width]], -1).astype(np.int32)
+                first = s.offsets[doc[i]]
+                at = (first + base[i].astype(first.dtype))[:, None, None] + np.add.outer(np.arange(-wide, wide + 1, dtype=first.dtype), np.arange(width, dtype=first.dtype))
+                np.maximum(at, (first - 1)[:, None, None], out=at)
+                np.minimum(at, (first + s.lengths[doc[i]])[:, None, None], out=at)
+                equal = tokens[at] == codes[:, None, :]
                 exact = _longest(equal) >= self.run
                 possible = exact | self._possible(equal.any(axis=1), self.told[item[i], :width], self.padded[item[i], :width] >= 0)
                 for j in np.flatnonzero(possible):
