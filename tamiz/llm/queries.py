@@ -11,7 +11,7 @@ from tamiz.llm.batch_dedup import deduplicate_batches
 from tamiz.llm.encoding import find_garbled, pair_counts
 from tamiz.llm.leakage import find_leaks
 from tamiz.llm.subjects import score_subjects, train_subjects
-from tamiz.llm.tokenize import encode_corpus
+from tamiz.llm.tokenize import encode_corpus, encode_whole
 from tamiz.llm.truncation import score_truncation, truncation_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,19 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query
+def p6_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long texts that the tokenizer's pattern cannot split: the letters of every 64 neighbouring documents in one run, encoded
+    as a tree of halves of a thousand letters, with whether the ids are those of the run encoded at once."""
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    letters = docs.select(F.floor(F.col("doc_id") / 64).alias("run"), F.struct("doc_id", F.regexp_replace("text", r"\P{L}+", "").alias("letters")).alias("d"))
+    runs = letters.groupBy("run").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list("d")), lambda d: d["letters"])).alias("text")).repartition("run")
+    tree = encode_corpus(runs, "run", "text", whole=4096, half=1024)
+    once = encode_whole(runs, "run", "text").withColumnRenamed("ids", "once")
+    both = runs.select("run", F.length("text").alias("letters")).join(tree, "run").join(once, "run")
+    return both.select("run", "letters", F.size("ids").alias("tokens"), (F.col("ids") == F.col("once")).alias("same"))
+
+
 @query
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"), "doc_id", "text", "item_id", "text")

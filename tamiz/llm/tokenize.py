@@ -132,6 +132,20 @@ def _plan(text: str, whole: int, half: int) -> Iterator[tuple[int, int, bool, st
 _IDS = T.ArrayType(T.IntegerType(), True)
 
 
+def encode_whole(rows: DataFrame, key: str, text: str, name: str = "byte_bpe_50k", folder: str = DEFAULT_FOLDER) -> DataFrame:
+    """``key`` and ``ids`` of every row, each text encoded at once. NULL and empty texts get the empty array."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoding(name, folder)
+        for b in batches:
+            ids = [enc.encode_ordinary(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(ids, pa.list_(pa.int32()))], names=["key", "ids"])
+
+    pair = rows.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    out = T.StructType([T.StructField("key", pair.schema["key"].dataType), T.StructField("ids", _IDS)])
+    return spread(pair).mapInArrow(encode, out).select(F.col("key").alias(key), "ids")
+
+
 def encode_corpus(
     rows: DataFrame, key: str, text: str, name: str = "byte_bpe_50k", folder: str = DEFAULT_FOLDER, whole: int = WHOLE, half: int = HALF
 ) -> DataFrame:
@@ -145,13 +159,7 @@ def encode_corpus(
     out = T.StructType([T.StructField("key", key_type), T.StructField("ids", _IDS)])
     ids_arrow = pa.list_(pa.int32())
 
-    def encode_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoding(name, folder)
-        for b in batches:
-            ids = [enc.encode_ordinary(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(ids, ids_arrow)], names=["key", "ids"])
-
-    short = spread(pair.where(F.length("text") <= whole)).mapInArrow(encode_whole, out)
+    short = encode_whole(pair.where(F.length("text") <= whole), "key", "text", name, folder)
 
     part_type = T.StructType(
         [T.StructField("key", key_type), T.StructField("unit", T.LongType()), T.StructField("part", T.LongType()), T.StructField("raw", T.BooleanType()), T.StructField("text", T.StringType())]

@@ -58,3 +58,17 @@ def test_cuts_lose_nothing():
 
 def test_empty_table(spark):
     assert encode_corpus(spark.createDataFrame([], "doc_id bigint, text string"), "doc_id", "text").collect() == []
+
+
+def test_long_runs_of_real_letters_go_through_the_tree(spark):
+    from tamiz.llm.queries import p6_runs
+
+    rows = p6_runs(spark, "/root/testdata/sf0.01").collect()
+    assert len(rows) == 16 and all(r.same for r in rows) and min(r.letters for r in rows) > 10_000
+
+
+def test_megabytes_without_a_split(spark):
+    rng = random.Random(6)
+    text = "".join(rng.choice("abcdefñoaei") for _ in range(3_000_000))
+    got = encode_corpus(spark.createDataFrame([(1, text)], "doc_id bigint, text string"), "doc_id", "text").collect()
+    assert got[0].ids == encoding()._encode_single_piece(text)
