@@ -161,6 +161,39 @@ def test_snapshot_table(spark, tmp_path):
     assert t.read().count() == 2
 
 
+def test_an_upsert_rewrites_the_parts_of_its_keys_only(spark, tmp_path, monkeypatch):
+    from tamiz.operators import store
+
+    t = SnapshotTable(spark, str(tmp_path / "t"), {"h": "TEXT NOT NULL", "v": "TEXT"}, "h")
+    t.upsert(spark.createDataFrame([(str(i), "a") for i in range(200)], "h string, v string"))
+    before = t.state()
+    assert t.upsert(spark.createDataFrame([("7", "b")], "h string, v string"))
+    after = t.state()
+    assert len(before["folders"]) == 8 and [p for p in before["folders"] if before["folders"][p] != after["folders"][p]].__len__() == 1
+    assert t.read().count() == 200 == sum(after["records"].values()) and t.read().where("v = 'b'").collect()[0].h == "7"
+    monkeypatch.setattr(store, "PART_RECORDS", 10)
+    t.upsert(spark.createDataFrame([("8", "c"), ("new", "c")], "h string, v string"))
+    assert t.state()["parts"] == 32 and t.read().count() == 201 and t.read().where("v <> 'a'").count() == 3
+    for k in range(4):
+        t.upsert(spark.createDataFrame([("8", str(k))], "h string, v string"))
+    assert len(t._versions()) == 3 and t.read().count() == 201
+    assert len([f for f in (tmp_path / "t").iterdir() if f.name.startswith("data-")]) <= 4
+
+
+def test_of_two_writers_one_fails(spark, tmp_path, monkeypatch):
+    from tamiz.operators.store import ConcurrentCommit
+
+    t = SnapshotTable(spark, str(tmp_path / "t"), {"h": "TEXT NOT NULL", "v": "TEXT"}, "h")
+    t.create()
+    began = t.state()
+    t.upsert(spark.createDataFrame([("1", "a")], "h string, v string"))
+    monkeypatch.setattr(t, "state", lambda: began)
+    with pytest.raises(ConcurrentCommit):
+        t.upsert(spark.createDataFrame([("2", "b")], "h string, v string"))
+    monkeypatch.undo()
+    assert [r.h for r in t.read().collect()] == ["1"]
+
+
 def test_rules_and_batches(spark):
     assert valid_rules([{"pattern": "Foo", "category": "x"}, {"pattern": "("}, {"pattern": "(", "category": "y"}, {}]) == [("Foo", "x")]
     df = spark.createDataFrame([("This foo test",), ("nothing here",), (None,)], "t string")
