@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tamiz.functions.model_json import labels_of
 from tamiz.functions.text import jvm_pattern
+from tamiz.operators.metrics import short_answers
 from tamiz.session import staged
 
 log = logging.getLogger(__name__)
@@ -109,11 +110,12 @@ def with_model_labels(unresolved: DataFrame, labels: DataFrame, key: str, other:
 
 def classify(
     rows: DataFrame, key: str, title: str, detail: str, rules: Sequence[tuple[str, str]], categories: Sequence[str], model: Model | None = None,
-    size: int = 20, order: Sequence[str] | None = None, head: str = "", other: str = "otros",
+    size: int = 20, order: Sequence[str] | None = None, head: str = "", other: str = "otros", short: Callable[[DataFrame], None] | None = None,
 ) -> DataFrame:
     """``rows`` with ``sector``: by rules, else by the model in batches of ``size``, else ``other``; always of the closed list.
 
-    The model is asked once for each batch: its answers are written before they are used.
+    The model is asked once for each batch: its answers are written before they are used. ``short`` is given the batches
+    whose answers do not fit in number (see ``short_answers``).
     """
     ruled = rows.withColumn("sector", rule_label(classifier_text(F.col(title), F.col(detail)), rules))
     done = ruled.where(F.col("sector") != "")
@@ -123,5 +125,8 @@ def classify(
     else:
         batched = staged(numbered_batches(pending, order or [key], size), "batched")
         answers = staged(ask(batch_prompts(batched, prompt_lines(F.col(key), F.col(title), F.col(detail)), head), model), "answers")
-        pending = with_model_labels(batched, labels_of(answers, "response", ["batch"]), key, other).drop("batch", "place")
+        labels = labels_of(answers, "response", ["batch"])
+        if short:
+            short(short_answers(batched, labels))
+        pending = with_model_labels(batched, labels, key, other).drop("batch", "place")
     return done.unionByName(pending).withColumn("sector", in_domain(F.col("sector"), categories, other))

@@ -15,7 +15,11 @@ def with_key(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(key, strip(key)).where(F.col(key) != "")
 
 
-def rename_legacy_key(df: DataFrame, key: str, legacy: str = "no_camara") -> DataFrame:
+#: Name of the key in tables that were laid out before keys had names of their own: a fixed value.
+LEGACY_KEY = "no_camara"
+
+
+def rename_legacy_key(df: DataFrame, key: str, legacy: str = LEGACY_KEY) -> DataFrame:
     """``legacy`` renamed to ``key`` where a table has only the former."""
     return df.withColumnRenamed(legacy, key) if key not in df.columns and legacy in df.columns else df
 

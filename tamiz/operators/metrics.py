@@ -13,6 +13,12 @@ def counted(df: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame,
     return df.observe(seen, *counts), seen
 
 
+def failure_ratio(pages: DataFrame) -> DataFrame:
+    """``pages, failed, ratio`` of fetched pages (see ``fetch_pages``); an empty table has the ratio 0."""
+    failed = F.count(F.when(F.col("html").isNull(), 1))
+    return pages.agg(F.count(F.lit(1)).alias("pages"), failed.alias("failed"), F.coalesce(failed / F.nullif(F.count(F.lit(1)), F.lit(0)), F.lit(0.0)).alias("ratio"))
+
+
 def short_answers(batched: DataFrame, labels: DataFrame) -> DataFrame:
     """``batch, asked, answered`` of batches whose answer does not hold as many labels as there were records."""
     asked = batched.groupBy("batch").agg(F.count(F.lit(1)).alias("asked"))

@@ -53,6 +53,7 @@ class PipelineSpec:
     rules: tuple[tuple[str, str], ...] = ()
     categories: tuple[str, ...] = ()
     batch_size: int = 20
+    list_rounds: int = 2
 
 
 def read_yaml(path: str, root: str | None = None) -> dict[str, Any]:

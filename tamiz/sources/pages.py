@@ -24,8 +24,6 @@ HEADERS = {
     "Accept-Language": "en-US,en;q=0.5",
     "Connection": "keep-alive",
 }
-#: Names under which pages are asked for, in turn.
-AGENTS = ["Mozilla/5.0 (X11; Linux x86_64)", "Mozilla/5.0 (Windows NT 10.0; Win64; x64)", "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7)"]
 PAGE_SCHEMA = "url string, html string, status int, attempts int, error string"
 
 #: One request: address, headers, proxy or None, seconds; gives status and text, raises on failure.
@@ -51,12 +49,13 @@ class FetchPolicy:
     proxies: tuple[str, ...] = ()
     proxy_tries: int = 20
     check_url: str | None = None
+    agents: tuple[str, ...] = ("tamiz/1",)
 
 
-def headers_for(url: str, attempt: int) -> dict[str, str]:
-    """Headers of an attempt; the agent depends on address and attempt only, so a repeated task asks alike."""
-    pick = int(hashlib.md5(f"{url}|{attempt}".encode()).hexdigest(), 16) % len(AGENTS)
-    return HEADERS | {"User-Agent": AGENTS[pick]}
+def headers_for(url: str, attempt: int, agents: Sequence[str]) -> dict[str, str]:
+    """Headers of an attempt; which of the ``agents`` asks depends on address and attempt only, so a repeated task asks alike."""
+    pick = int(hashlib.md5(f"{url}|{attempt}".encode()).hexdigest()[:8], 16) % len(agents)
+    return HEADERS | {"User-Agent": agents[pick]}
 
 
 def proxy_order(proxies: Sequence[str], seed: str) -> list[str]:
@@ -67,7 +66,7 @@ def proxy_order(proxies: Sequence[str], seed: str) -> list[str]:
 def fetch_once(url: str, policy: FetchPolicy, attempt: int, get: Get, failed: set[str]) -> tuple[int, str]:
     """A direct request, then proxies: those that fail their check, are blocked (403, 429) or break are not used again."""
     try:
-        return get(url, headers_for(url, attempt), None, policy.timeout)
+        return get(url, headers_for(url, attempt, policy.agents), None, policy.timeout)
     except Exception as direct:
         error: Exception = direct
     for proxy in [p for p in proxy_order(policy.proxies, url) if p not in failed][: policy.proxy_tries]:
@@ -80,7 +79,7 @@ def fetch_once(url: str, policy: FetchPolicy, attempt: int, get: Get, failed: se
                 error = e
                 continue
         try:
-            return get(url, headers_for(url, attempt), proxy, policy.timeout)
+            return get(url, headers_for(url, attempt, policy.agents), proxy, policy.timeout)
         except urllib.error.HTTPError as e:
             if e.code not in (403, 429):
                 raise
@@ -123,6 +122,22 @@ def fetch_pages(urls: DataFrame, policy: FetchPolicy, concurrency: int = 5, get:
     return urls.select("url").where("url IS NOT NULL AND url <> ''").distinct().repartition(concurrency, "url").mapInPandas(run, PAGE_SCHEMA)
 
 
+def fetch_in_rounds(urls: DataFrame, policy: FetchPolicy, concurrency: int, rounds: int, stage: Callable[[DataFrame, str], DataFrame], get: Get = http_get) -> DataFrame:
+    """Pages of ``urls``; those that failed are asked for again behind all others, ``rounds`` times in all.
+
+    ``stage`` writes each round, see :func:`tamiz.session.scratch`. A page that fails in the last round stays a row with its error.
+    """
+    last = stage(fetch_pages(urls, policy, concurrency, get), "pages")
+    good = last.where("html IS NOT NULL")
+    for _ in range(rounds - 1):
+        failed = last.where("html IS NULL")
+        if failed.isEmpty():
+            break
+        last = stage(fetch_pages(failed, policy, concurrency, get), "pages")
+        good = good.unionByName(last.where("html IS NOT NULL"))
+    return good.unionByName(last.where("html IS NULL"))
+
+
 class FailedPages(RuntimeError):
     """Pages could not be fetched and the policy is to stop."""
 

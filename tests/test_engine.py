@@ -286,6 +286,54 @@ def test_runs(spark, tmp_path):
         run(spark, spec, root)
 
 
+def test_live_run_keeps_what_failed_and_logs_its_counts(spark, tmp_path):
+    import json
+
+    from tamiz.plans.pipeline import failed_table, log_table
+
+    site = {"https://portal.invalid/list": LIST_PAGE, "https://portal.invalid/p/1": "Objeto: la salud Fin", "https://portal.invalid": "<p>"}
+    get = lambda url, headers, proxy, timeout: (200, site[url])
+    model = lambda prompt: '[{"id": "002/2020C", "label": "otros"}]'
+    spec, root = pipeline_spec(CFG, RULES), str(tmp_path)
+    result = run(spark, spec, root, live=True, model=model, get=get)
+    assert result == RunResult(3, 3, 0, 3, 1, 1)
+    lost = failed_table(spark, root).read().collect()
+    assert [r.url for r in lost] == ["https://portal.invalid/list?page=1"] and "KeyError" in lost[0].error
+    assert [json.loads(r.counts)["failed_pages"] for r in log_table(spark, root).read().collect()] == [1]
+    del site["https://portal.invalid/p/1"]
+    with pytest.raises(RuntimeError):
+        run(spark, spec, str(tmp_path / "other"), live=True, get=get)
+
+
+def test_failed_pages_are_asked_for_again_behind_the_others(spark, tmp_path):
+    from tamiz.session import scratch
+    from tamiz.sources.pages import fetch_in_rounds
+
+    tried = tmp_path / "tried"
+
+    def get(url, headers, proxy, timeout):
+        with tried.open("a") as f:
+            f.write(url + "\n")
+        if url == "never" or url == "late" and tried.read_text().count("late") == 1:
+            raise OSError("down")
+        return 200, url
+
+    urls = spark.createDataFrame([("late",), ("never",), ("good",)], "url string")
+    with scratch(spark) as stage:
+        rows = fetch_in_rounds(urls, FetchPolicy(attempts=1), 1, 3, stage, get).collect()
+    assert sorted((r.url, r.html) for r in rows if r.html) == [("good", "good"), ("late", "late")] and [r.url for r in rows if not r.html] == ["never"]
+    order = tried.read_text().split()
+    assert len(order) == 6 and order[3:].count("never") == 2 and "good" in order[:3]
+
+
+def test_tables_with_the_key_of_old(spark, tmp_path):
+    cfg = {**CFG, "storage": {**CFG["storage"], "raw": {**CFG["storage"]["raw"], "columns": {"no_camara": "TEXT", "row_hash": "TEXT NOT NULL"}}}}
+    spec, root = pipeline_spec(cfg, RULES), str(tmp_path)
+    assert run(spark, spec, root, pages(spark, "a"), detail(spark)).to_detail == 3
+    assert sorted(r.no_camara for r in raw_table(spark, spec, root).read().collect()) == ["001/2020C", "002/2020C", "003/2020C"]
+    assert run(spark, spec, root, pages(spark, "a"), detail(spark)).bypass == 3
+
+
 def test_no_update_is_lost_when_a_run_fails_before_the_raw_commit(spark, tmp_path, monkeypatch):
     spec, root = pipeline_spec(CFG, RULES), str(tmp_path)
     monkeypatch.setattr("tamiz.plans.pipeline.with_key", lambda *a: 1 / 0)
