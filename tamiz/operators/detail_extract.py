@@ -1,14 +1,16 @@
 """Detail pages: one page to one record, by a declared extraction for each field.
 
-A page is normalized to XHTML once; scalar fields are then native ``xpath*`` and regular expressions. Only lists of elements
-need a function of their own, since native XPath gives no attributes and texts of the same element together.
+A page is parsed once, which gives its XHTML, its text and its declared lists of elements; scalar fields are then native
+``xpath*`` and regular expressions. Only lists of elements need a function of their own, since native XPath gives no
+attributes and texts of the same element together.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,16 +20,37 @@ from pyspark.sql import types as T
 from tamiz.functions.text import after_marker, find_all_at, search_group, strip
 from tamiz.functions.url import force_https, url_join
 from tamiz.session import spread
-from tamiz.sources.html import parse
+from tamiz.sources.html import Node, parse
+from tamiz.sources.paths import compiled, elements
 
-LINKS = "array<struct<label:string,url:string>>"
+_LINKS = T.ArrayType(T.StructType([T.StructField("label", T.StringType()), T.StructField("url", T.StringType())]))
 
 
-@F.pandas_udf(T.StructType([T.StructField("xhtml", T.StringType()), T.StructField("text", T.StringType())]))
-def page_forms(pages: pd.Series) -> pd.DataFrame:
-    """Well-formed XHTML and all text of each page, parsed once; an empty root for NULL and empty pages."""
-    roots = [parse(t) for t in pages]
-    return pd.DataFrame({"xhtml": [r.html() for r in roots], "text": [r.text() for r in roots]}, dtype=object)
+def page_forms(fields: Mapping[str, Mapping[str, Any]], domain: str) -> Callable[[Column], Column]:
+    """Of each page, parsed once: well-formed XHTML, all text, and the declared lists of elements. NULL and empty pages give
+    an empty root."""
+    lists = {n: how for n, how in fields.items() if _lists_elements(how)}
+    for how in lists.values():
+        compiled(how["xpath"])
+    schema = [T.StructField("xhtml", T.StringType()), T.StructField("text", T.StringType())]
+    schema += [T.StructField(f"f{i}", _LINKS if how.get("attr") else T.ArrayType(T.StringType())) for i, how in enumerate(lists.values())]
+
+    @F.pandas_udf(T.StructType(schema))
+    def forms(pages: pd.Series) -> pd.DataFrame:
+        roots = [parse(t) for t in pages]
+        out: dict[str, list] = {"xhtml": [r.html() for r in roots], "text": [r.text() for r in roots]}
+        for i, how in enumerate(lists.values()):
+            if how.get("attr"):
+                out[f"f{i}"] = [links_of(r, how["xpath"], how["attr"], domain, how.get("label_attr"), how.get("regex")) for r in roots]
+            else:
+                out[f"f{i}"] = [[n.text().strip() for n in elements(r, how["xpath"])] for r in roots]
+        return pd.DataFrame(out, dtype=object)
+
+    return forms
+
+
+def _lists_elements(how: Mapping[str, Any]) -> bool:
+    return bool(how.get("xpath") and how.get("multiple") and _node_path(how["xpath"]))
 
 
 def _node_path(path: str) -> bool:
@@ -52,87 +75,29 @@ def xpath_strings(xhtml: Column, path: str) -> Column:
     return F.filter(F.transform(F.xpath(xhtml, F.lit(path)), lambda x: strip(x)), lambda x: x != "")
 
 
-def _elements(root: Any, path: str) -> list[Any]:
-    """Elements of a tree for the paths that select anchors: ``//tag[condition]`` with ``contains`` joined by ``or``."""
-    m = re.fullmatch(r"//([\w*]+)(?:\[(.*)\])?", path.strip(), re.S)
-    if not m:
-        raise ValueError(f"path of elements not supported: {path}")
-    tag, condition = m.groups()
-    return [n for n in root.walk() if tag in ("*", n.tag) and (not condition or any(_holds(n, c) for c in re.split(r"\s+or\s+", condition)))]
-
-
-_CONTAINS = re.compile(r"contains\(\s*(.+?)\s*,\s*'([^']*)'\s*\)\Z", re.S)
-_TRANSLATE = re.compile(r"translate\(\s*(.+?)\s*,\s*'([^']*)'\s*,\s*'([^']*)'\s*\)\Z", re.S)
-
-
-def _operand(node: Any, expression: str) -> str:
-    if t := _TRANSLATE.match(expression):
-        source, target = t[2], t[3]
-        table = {ord(c): (target[i] if i < len(target) else None) for i, c in reversed(list(enumerate(source)))}
-        return _operand(node, t[1]).translate(table)
-    if expression == "text()":
-        return next((c for c in node.children if isinstance(c, str)), "")
-    if expression in (".", "string(.)"):
-        return node.text()
-    if expression == "normalize-space(.)":
-        return " ".join(node.text().split())
-    if expression.startswith("@"):
-        return node.attrs.get(expression[1:], "")
-    raise ValueError(f"expression not supported: {expression}")
-
-
-def _holds(node: Any, condition: str) -> bool:
-    condition = condition.strip()
-    if m := _CONTAINS.match(condition):
-        return m[2] in _operand(node, m[1])
-    if m := re.fullmatch(r"@([\w\-]+)(?:\s*=\s*'([^']*)')?", condition):
-        return m[1] in node.attrs and (m[2] is None or node.attrs[m[1]] == m[2])
-    raise ValueError(f"condition not supported: {condition}")
-
-
-def element_links(html: Column, path: str, attr: str, domain: str, label_attr: str | None = None, pattern: str | None = None) -> Column:
+def links_of(root: Node, path: str, attr: str, domain: str, label_attr: str | None = None, pattern: str | None = None) -> list[dict[str, str]]:
     """``{label, url}`` of the elements of a path: address from ``attr`` resolved against ``domain``, the first of equal ones.
 
     ``label_attr``: ``text`` for the element's text, else an attribute, where it is empty the value of ``attr`` (cut down to
     group 1 of ``pattern`` if one is given; elements for which nothing is left are dropped).
     """
-    compiled = re.compile(pattern, re.I | re.S) if pattern else None
-
-    @F.pandas_udf(LINKS)
-    def links(pages: pd.Series) -> pd.Series:
-        from urllib.parse import urljoin
-
-        def one(text: str | None) -> list[dict]:
-            seen: dict[str, str] = {}
-            for node in _elements(parse(text), path):
-                href = node.attrs.get(attr, "")
-                raw = href.strip()
-                if compiled:
-                    m = compiled.search(raw)
-                    raw = (m.group(1) if compiled.groups else m.group()).strip() if m else ""
-                if not raw:
-                    continue
-                try:
-                    url = urljoin(domain, href)
-                except ValueError:
-                    url = href
-                label = node.text().strip() if label_attr == "text" else (node.attrs.get(label_attr, "") if label_attr else "") or raw
-                seen.setdefault(url, label)
-            return [{"label": v, "url": k} for k, v in seen.items()]
-
-        return pages.map(one)
-
-    return links(html)
-
-
-def element_texts(html: Column, path: str) -> Column:
-    """Stripped texts of the elements of a path."""
-
-    @F.pandas_udf("array<string>")
-    def texts(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda t: [n.text().strip() for n in _elements(parse(t), path)])
-
-    return texts(html)
+    search = re.compile(pattern, re.I | re.S) if pattern else None
+    seen: dict[str, str] = {}
+    for node in elements(root, path):
+        href = node.attrs.get(attr, "")
+        raw = href.strip()
+        if search:
+            m = search.search(raw)
+            raw = (m.group(1) if search.groups else m.group()).strip() if m else ""
+        if not raw:
+            continue
+        try:
+            url = urljoin(domain, href)
+        except ValueError:
+            url = href
+        label = node.text().strip() if label_attr == "text" else (node.attrs.get(label_attr, "") if label_attr else "") or raw
+        seen.setdefault(url, label)
+    return [{"label": v, "url": k} for k, v in seen.items()]
 
 
 def pdf_links(html: Column, base: Column) -> Column:
@@ -140,8 +105,6 @@ def pdf_links(html: Column, base: Column) -> Column:
 
     @F.pandas_udf("array<string>")
     def links(pages: pd.Series, bases: pd.Series) -> pd.Series:
-        from urllib.parse import urljoin
-
         def one(text: str | None, b: str | None) -> list[str]:
             hrefs = [n.attrs["href"] for n in parse(text).walk() if n.tag == "a" and ".pdf" in n.attrs.get("href", "").translate(str.maketrans("PDF", "pdf"))]
             return [urljoin(b or "", h.strip()) for h in hrefs if h.strip()]
@@ -151,20 +114,14 @@ def pdf_links(html: Column, base: Column) -> Column:
     return links(html, base)
 
 
-def field_column(name: str, how: Mapping[str, Any], html: Column, xhtml: Column, text: Column, domain: str) -> Column:
-    """The column of one declared field.
+def field_column(name: str, how: Mapping[str, Any], xhtml: Column, text: Column) -> Column:
+    """The column of one declared field that is no list of elements.
 
     Precedence: ``xpath``, ``find_all`` with ``regex``, ``block_after`` with ``regex``, ``regex``; anything else is NULL.
     """
-    path, pattern, attr = how.get("xpath"), how.get("regex"), how.get("attr")
+    path, pattern = how.get("xpath"), how.get("regex")
     if path:
-        if not how.get("multiple"):
-            return xpath_scalar(xhtml, path, attr, pattern).alias(name)
-        if not _node_path(path):
-            return xpath_strings(xhtml, path).alias(name)
-        if attr:
-            return element_links(html, path, attr, domain, how.get("label_attr"), pattern).alias(name)
-        return element_texts(html, path).alias(name)
+        return (xpath_strings(xhtml, path) if how.get("multiple") else xpath_scalar(xhtml, path, how.get("attr"), pattern)).alias(name)
     if how.get("find_all") and pattern:
         return find_all_at(text, pattern, int(how.get("index", 0))).alias(name)
     if how.get("block_after") and pattern:
@@ -176,9 +133,9 @@ def field_column(name: str, how: Mapping[str, Any], html: Column, xhtml: Column,
 
 def extract_detail(pages: DataFrame, fields: Mapping[str, Mapping[str, Any]], domain: str = "", html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
     """``carry`` columns and the declared fields of each page."""
-    raw = F.coalesce(F.col(html), F.lit(""))
-    base = spread(pages.select(*carry, html)).select(*carry, raw.alias("__html"), page_forms(raw).alias("__page"))
-    columns = [field_column(n, how, F.col("__html"), F.col("__page.xhtml"), F.col("__page.text"), domain) for n, how in fields.items()]
+    base = spread(pages.select(*carry, html)).select(*carry, page_forms(fields, domain)(F.coalesce(F.col(html), F.lit(""))).alias("__page"))
+    number = {n: i for i, n in enumerate(n for n, how in fields.items() if _lists_elements(how))}
+    columns = [F.col(f"__page.f{number[n]}").alias(n) if n in number else field_column(n, how, F.col("__page.xhtml"), F.col("__page.text")) for n, how in fields.items()]
     return base.select(*carry, *columns)
 
 

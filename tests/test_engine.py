@@ -64,6 +64,21 @@ def test_tree_repairs_and_selects():
     assert deep.text() == "x" and deep.html().count("<div>") == 3000
 
 
+def test_paths_of_elements():
+    from tamiz.sources.paths import elements
+
+    root = parse("<div id=a><p class=x>one <b>B</b><p>two</div><div><p class=y>three<p class='x z'>four</div><a href='/f.pdf'>PDF</a><a name=n>Ver  Ficha</a>")
+    found = lambda path: [" ".join(n.text().split()) for n in elements(root, path)]
+    assert found("//p") == ["one B", "two", "three", "four"] and found("//div/p[1]") == ["one B", "three"] and found("//div[2]/p[last()]") == ["four"]
+    assert found("//div[@id='a']//b") == ["B"] and found("//p[@class='x' or contains(@class,'z')]") == ["one B", "four"]
+    assert found("//p[@class and not(@class='y') and contains(.,'o')]") == ["one B", "four"] and found("//p[b='B']") == ["one B"] and found("//p[b]") == ["one B"]
+    assert found("/html/div/p[starts-with(text(),'t')]") == ["two", "three"] and found("//a[(contains(translate(text(),'PDF','pdf'),'pdf')) or @name!='m']") == ["PDF", "Ver Ficha"]
+    assert found('//a[normalize-space(.)="Ver Ficha"]') == ["Ver Ficha"] and found("//*[@href]") == ["PDF"] and found("//p[2][@class]") == ["four"]
+    for bad in ("", "a[", "//a[foo(.)]", "//a[1", "//a/@href/..", "//a[@x='1"):
+        with pytest.raises(ValueError):
+            elements(root, bad)
+
+
 def list_spec():
     return pipeline_spec(CFG, RULES).list_spec
 
