@@ -6,6 +6,12 @@ and their SQL says what must come out.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import re
+import urllib.error
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,18 +20,19 @@ from tamiz.functions.model_json import labels_of
 from tamiz.functions.retry import wait_seconds
 from tamiz.functions.text import after_marker, entity_key, find_all_at, search_group
 from tamiz.functions.url import page_urls
-from tamiz.operators.classify import batch_prompts, classifier_text, in_domain, numbered_batches, prompt_lines, rule_label
-from tamiz.operators.clean import clean, conform
+from tamiz.operators.classify import batch_prompts, classifier_text, classify, in_domain, numbered_batches, prompt_lines, rule_label, valid_rules, with_model_labels
+from tamiz.operators.clean import clean, conform, rename_legacy_key
 from tamiz.operators.delta import first_n, latest_hash, lookup_by_ids, merge_routes, new_or_changed, route, unchanged
 from tamiz.operators.detail_extract import extract_detail, second_hop
 from tamiz.operators.list_extract import ListSpec, extract_list, table_rows
-from tamiz.operators.store import SnapshotTable, first_per_key, upserted
+from tamiz.operators.metrics import failure_ratio, short_answers
+from tamiz.operators.store import SnapshotTable, first_per_key
 from tamiz.plans.labels import CATEGORIES, RULES
-from tamiz.plans.pipeline import final_table, run
-from tamiz.plans.spec import pipeline_spec
+from tamiz.plans.pipeline import final_table, log_table, run
+from tamiz.plans.spec import PipelineSpec, load_spec
 from tamiz.queries import _WS, query, sql_key, table
-from tamiz.session import work_path
-from tamiz.sources.pages import usable_proxies
+from tamiz.session import staged, work_path
+from tamiz.sources.pages import FetchPolicy, dead_letters, fetch_in_rounds, fetch_pages, good_pages, proxies_of, usable_proxies
 from tamiz.streaming.incremental import upsert_stream
 
 _HASHED = ["no_camara", "no_senado", "proyecto", "detail_url"]
@@ -109,9 +116,79 @@ def q_first_n(spark: SparkSession, sf: str) -> DataFrame:
     return first_n(table(spark, sf, "raw_projects"), ["last_seen", "raw_id"], 50).select("raw_id", "proyecto")
 
 
-@query("failure_ratio", "SELECT load_kind, load_no, avg(CASE WHEN detail_url IS NULL THEN 1.0 ELSE 0.0 END) AS failed FROM raw_projects GROUP BY 1, 2")
+# --- fetching, with a site that exists nowhere ---------------------------------------------------------------------------
+
+_ASKED = "asked AS (SELECT DISTINCT detail_url AS url, md5(detail_url) AS m FROM raw_projects WHERE coalesce(detail_url, '') <> '')"
+_PROXIES = tuple(f"http://proxy{k}.invalid:80" for k in range(5))
+
+
+def site(url: str, headers: dict[str, str], proxy: str | None, timeout: float) -> tuple[int, str]:
+    """A stand-in for a site: by the address's hash a page is there, is there for some proxies only, or is gone."""
+    if url == "https://check.invalid":
+        return (500 if proxy == _PROXIES[0] else 200), ""
+    kind = hashlib.md5(url.encode()).hexdigest()[0]
+    if kind in "012" or kind in "345" and proxy is None:
+        raise OSError("no answer")
+    if proxy == _PROXIES[1]:
+        raise urllib.error.HTTPError(url, 403, "blocked", None, None)
+    return 200, f"{proxy or 'direct'} {headers['User-Agent']}"
+
+
+def _fetched(spark: SparkSession, sf: str, **policy) -> DataFrame:
+    urls = table(spark, sf, "raw_projects").select(F.col("detail_url").alias("url"))
+    return fetch_pages(urls, FetchPolicy(attempts=1, **policy), spark.sparkContext.defaultParallelism, site)
+
+
+@query("failure_ratio", f"WITH {_ASKED} SELECT count(*) AS pages, count(*) FILTER (m[1] <= '5') AS failed, coalesce(avg(CASE WHEN m[1] <= '5' THEN 1.0 ELSE 0.0 END), 0.0) AS ratio FROM asked")
 def q_failure_ratio(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "raw_projects").groupBy("load_kind", "load_no").agg(F.avg(F.col("detail_url").isNull().cast("double")).alias("failed"))
+    return failure_ratio(_fetched(spark, sf))
+
+
+@query("dead_letter_pages", f"WITH {_ASKED} SELECT url, 1 AS attempts FROM asked WHERE m[1] <= '5'")
+def q_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    return dead_letters(_fetched(spark, sf)).select("url", "attempts")
+
+
+@query("fetched_pages", f"WITH {_ASKED} SELECT url, 'direct a' || (('0x' || substr(md5(url || '|1'), 1, 8))::BIGINT % 3) AS html FROM asked WHERE m[1] > '5'")
+def q_fetched(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that are there, asked for under one of three names."""
+    return good_pages(_fetched(spark, sf, agents=("a0", "a1", "a2"))).select("url", "html")
+
+
+@query(
+    "proxied_pages",
+    f"""WITH {_ASKED}, p AS (SELECT unnest(['{"', '".join(_PROXIES[2:])}']) AS proxy),
+    first AS (SELECT url, proxy FROM asked, p WHERE m[1] BETWEEN '3' AND '5' QUALIFY row_number() OVER (PARTITION BY url ORDER BY md5(url || '|' || proxy)) = 1)
+    SELECT url, split_part(proxy, '//', 2) AS proxy FROM first""",
+)
+def q_proxied(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that only a proxy gets: proxies in an order of their own for each page, without those that fail their check or are blocked."""
+    pages = good_pages(_fetched(spark, sf, proxies=_PROXIES, check_url="https://check.invalid"))
+    return pages.where("html NOT LIKE 'direct%'").select("url", F.regexp_extract("html", "//(\\S+)", 1).alias("proxy"))
+
+
+@query(
+    "requeued_pages",
+    f"WITH {_ASKED} SELECT url, m[1] > '2' AS fetched FROM asked",
+)
+def q_requeued(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages that fail are asked for again behind the others, now by proxy."""
+    urls = table(spark, sf, "raw_projects").select(F.col("detail_url").alias("url"))
+    policy = FetchPolicy(attempts=1, proxies=_PROXIES[2:])
+    return fetch_in_rounds(urls, policy, spark.sparkContext.defaultParallelism, 2, staged, site).select("url", F.col("html").isNotNull().alias("fetched"))
+
+
+@query(
+    "proxy_table_scan",
+    """SELECT s_suppkey, 'http://' || s_nationkey || '.0.0.1:' || s_suppkey AS proxy FROM supplier WHERE s_acctbal > 0""",
+)
+def q_proxy_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The proxies for https of a page's table; here a page for each supplier, with a row of too few cells."""
+    html = F.concat(
+        F.lit("<table id=other><tr><td>x</table><table id=proxylisttable><tr><th>IP<tr><td>short<tr><td>"), F.col("s_nationkey").cast("string"), F.lit(".0.0.1<td>"),
+        F.col("s_suppkey").cast("string"), F.lit("<td>a<td>b<td>c<td>d<td>"), F.when(F.col("s_acctbal") > 0, " Yes ").otherwise("no"), F.lit("</table>"),
+    )
+    return table(spark, sf, "supplier").select("s_suppkey", F.explode(proxies_of(html)).alias("proxy"))
 
 
 @query("page_list_urls", "SELECT i AS page_no, CASE WHEN i = 0 THEN 'https://portal.invalid/list' ELSE 'https://portal.invalid/list?page=' || i END AS url FROM range(100) t(i)")
@@ -185,27 +262,56 @@ def q_parse_json(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "model_label_fallback",
     _LABELS
-    + f"""SELECT f.rec_id, CASE WHEN g.label IN ({_DOMAIN}) THEN g.label ELSE 'otros' END AS sector FROM final_projects f
-    LEFT JOIN (SELECT id, label FROM good QUALIFY row_number() OVER (PARTITION BY id ORDER BY received_at DESC, response_id DESC) = 1) g
-    ON {sql_key("f.no_camara")} = g.id""",
+    + f"""SELECT f.rec_id, coalesce(g.label, 'otros') AS sector FROM final_projects f LEFT JOIN good g ON {sql_key("f.no_camara")} = g.id AND g.response_id = f.rec_id % 50""",
 )
 def q_label_fallback(spark: SparkSession, sf: str) -> DataFrame:
-    labels = labels_of(table(spark, sf, "model_responses"), "response_text", ["response_id", "received_at"])
-    last = labels.groupBy("id").agg(F.max_by("label", F.struct("received_at", "response_id")).alias("label"))
-    rows = table(spark, sf, "final_projects").select("rec_id", entity_key("no_camara").alias("k"))
-    return rows.join(last, F.col("k") == F.col("id"), "left").select("rec_id", in_domain(F.col("label"), CATEGORIES).alias("sector"))
+    """Labels of the answer to a record's own batch, here the answers taken in turn."""
+    labels = labels_of(table(spark, sf, "model_responses").select(F.col("response_id").alias("batch"), "response_text"), "response_text", ["batch"])
+    rows = table(spark, sf, "final_projects").select("rec_id", entity_key("no_camara").alias("k"), (F.col("rec_id") % 50).alias("batch"))
+    return with_model_labels(rows, labels, "k").select("rec_id", "sector")
 
 
-@query("response_cardinality", _LABELS + "SELECT m.response_id, count(g.id) AS labels FROM model_responses m LEFT JOIN good g USING (response_id) GROUP BY 1")
+@query(
+    "response_cardinality",
+    _PENDING + ", " + _LABELS.strip().removeprefix("WITH ")
+    + """, asked AS (SELECT place // 20 AS batch, count(*) AS asked FROM pending GROUP BY 1), answered AS (SELECT response_id AS batch, count(*) AS answered FROM good GROUP BY 1)
+    SELECT batch, asked, coalesce(answered, 0) AS answered FROM asked LEFT JOIN answered USING (batch) WHERE asked <> coalesce(answered, 0)""",
+)
 def q_cardinality(spark: SparkSession, sf: str) -> DataFrame:
-    responses = table(spark, sf, "model_responses").select("response_id", "response_text")
-    counts = labels_of(responses, "response_text", ["response_id"]).groupBy("response_id").agg(F.count(F.lit(1)).alias("labels"))
-    return responses.select("response_id").join(counts, "response_id", "left").select("response_id", F.coalesce("labels", F.lit(0)).alias("labels"))
+    """Batches whose answer does not hold as many labels as records were asked for."""
+    pending = _ruled(spark, sf).where("label = ''").select("rec_id")
+    labels = labels_of(table(spark, sf, "model_responses").select(F.col("response_id").alias("batch"), "response_text"), "response_text", ["batch"])
+    return short_answers(numbered_batches(pending, ["rec_id"], 20), labels)
 
 
-@query("props_json", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def q_props(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+def answer(prompt: str) -> str:
+    """A stand-in for a model: labels by the last figure of the record's number, some strange or missing; some batches fail."""
+    ids = re.findall(r"(?m)^#(\d+): ", prompt)
+    if int(ids[0]) % 5 == 0:
+        raise OSError("no answer")
+    return json.dumps([{"id": f"#{i}", "label": CATEGORIES[int(i[-1])] if i[-1] < "5" else "strange"} for i in ids if i[-1] != "9"])
+
+
+@query(
+    "model_classifier",
+    _PENDING + f"""SELECT f.rec_id, CASE WHEN p.rec_id IS NULL THEN CASE WHEN {_CASE} IN ({_DOMAIN}) THEN {_CASE} ELSE 'otros' END
+      WHEN p.lead % 5 <> 0 AND f.rec_id % 10 < 5 THEN (['{"', '".join(CATEGORIES[:5])}'])[f.rec_id % 10 + 1] ELSE 'otros' END AS sector
+    FROM (SELECT *, {_TEXT} AS t FROM final_projects) f LEFT JOIN (SELECT rec_id, min(rec_id) OVER (PARTITION BY place // 20) AS lead FROM pending) p ON f.rec_id = p.rec_id""",
+)
+def q_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules first, then a model in batches of twenty, then the closed list."""
+    rows = table(spark, sf, "final_projects").select(F.concat(F.lit("#"), F.col("rec_id").cast("string")).alias("id"), "rec_id", "titulo", "objeto")
+    labelled = classify(rows, "id", "titulo", "objeto", RULES, CATEGORIES, answer, 20, ["rec_id"])
+    return labelled.select("rec_id", "sector")
+
+
+_BROKEN = [{"pattern": "(", "category": "roto"}, {"pattern": "ley"}, {"category": "salud"}, {}, *[{"pattern": p, "category": c} for p, c in RULES]]
+
+
+@query("malformed_rules", f"SELECT pe_id, {_CASE} AS label FROM (SELECT pe_id, coalesce(titulo_detalle, '') AS t FROM peru_projects)")
+def q_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules without a pattern or a category, or with a broken pattern, are left out."""
+    return table(spark, sf, "peru_projects").select("pe_id", rule_label(classifier_text(F.col("titulo_detalle")), valid_rules(_BROKEN)).alias("label"))
 
 
 # --- cleaning, conformance, storage --------------------------------------------------------------------------------------
@@ -248,9 +354,10 @@ _RAW_COLUMNS = {"no_camara": "TEXT", "row_hash": "TEXT NOT NULL", "last_seen": "
 def q_raw_upsert(spark: SparkSession, sf: str) -> DataFrame:
     raw = table(spark, sf, "raw_projects")
     first = lambda kind: first_per_key(raw.where(F.col("load_kind") == kind), "row_hash", ["raw_id"])
-    target = first("snapshot").select("no_camara", "row_hash", "last_seen")
-    batch = first("batch").select("no_camara", "row_hash")
-    return upserted(target, batch, "row_hash", keep=["last_seen"], defaults={"last_seen": F.lit("2025-01-01 00:00:00").cast("timestamp_ntz")})
+    stored = SnapshotTable(spark, work_path(spark, "raw-table"), _RAW_COLUMNS, "row_hash")
+    stored.upsert(first("snapshot").select("no_camara", "row_hash", F.col("last_seen").cast("timestamp").alias("last_seen")))
+    stored.upsert(first("batch").select("no_camara", "row_hash"), keep=["last_seen"], defaults={"last_seen": F.lit("2025-01-01 00:00:00").cast("timestamp")})
+    return stored.read().withColumn("last_seen", F.col("last_seen").cast("timestamp_ntz"))
 
 
 @query(
@@ -264,8 +371,10 @@ def q_raw_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def q_final_upsert(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "final_projects").where("row_hash IS NOT NULL")
     cut = F.lit("2021-01-01 00:00:00").cast("timestamp_ntz")
-    side = lambda when: first_per_key(rows.where(when), "row_hash", ["rec_id"]).select("row_hash", "rec_id", "titulo", "objeto")
-    return upserted(side(F.col("loaded_at") < cut), side(F.col("loaded_at") >= cut), "row_hash")
+    stored = SnapshotTable(spark, work_path(spark, "final-table"), {"row_hash": "TEXT NOT NULL", "rec_id": "TEXT", "titulo": "TEXT", "objeto": "TEXT"}, "row_hash")
+    for when in (F.col("loaded_at") < cut, F.col("loaded_at") >= cut):
+        stored.upsert(first_per_key(rows.where(when), "row_hash", ["rec_id"]).withColumn("rec_id", F.col("rec_id").cast("string")))
+    return stored.read().withColumn("rec_id", F.col("rec_id").cast("bigint"))
 
 
 @query("lookup_by_ids", "SELECT rec_id, no_camara, sector FROM final_projects WHERE rec_id IN (SELECT rec_id FROM subject_labels)")
@@ -290,6 +399,12 @@ def q_stream(spark: SparkSession, sf: str) -> DataFrame:
     return stored.read()
 
 
+@query("legacy_key_table", "SELECT raw_id, no_camara AS numero FROM raw_projects")
+def q_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that was laid out when its key was still named as in other tables."""
+    return rename_legacy_key(table(spark, sf, "raw_projects"), "numero").select("raw_id", "numero")
+
+
 @query("proxy_pool", """SELECT s_name AS proxy FROM supplier WHERE s_acctbal > 0 AND s_name NOT IN (SELECT s_name FROM supplier WHERE s_nationkey % 5 = 0) ORDER BY s_suppkey LIMIT 50""")
 def q_proxies(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier")
@@ -358,12 +473,15 @@ def q_anchors(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- detail pages built from final_projects --------------------------------------------------------------------------------
 
+#: Fields of the pages below; their paths and patterns are fixed values of what such pages declare.
 DETAIL = {
     "titulo_detalle": {"xpath": "//h1/text()"},
     "sumilla": {"xpath": "//input[@name='SumIni']/@value"},
     "presentado": {"xpath": "//input[@name='FecPres']/@value", "regex": "([0-9]{2}/[0-9]{2}/[0-9]{4})"},
     "documentos": {"xpath": "//a[contains(translate(text(),'VER DOCUMENTO','ver documento'),'ver documento') or contains(@href,'.pdf')]", "attr": "href", "label_attr": "text", "multiple": True},
     "archivos": {"xpath": "//a[contains(@href,'.pdf')]/@href", "multiple": True},
+    "textos": {"xpath": "//ul/li/a[contains(@href,'.pdf')]", "multiple": True},
+    "enlaces": {"xpath": "//li[not(a='Ver  Expediente Digital')]/a[@href]", "attr": "href", "label_attr": "title", "multiple": True},
     "fecha_camara": {"find_all": True, "regex": "([0-9]{4}-[0-9]{2}-[0-9]{2})", "index": 0},
     "fecha_senado": {"find_all": True, "regex": "([0-9]{4}-[0-9]{2}-[0-9]{2})", "index": 1},
     "objeto": {"regex": r"Objeto de proyecto:\s*(.*?)Observaciones:"},
@@ -405,6 +523,13 @@ def q_xpath_multi(spark: SparkSession, sf: str) -> DataFrame:
     return _detail(spark, sf, "documentos", "archivos").select("rec_id", F.to_json("documentos").alias("documentos"), F.array_join("archivos", " ").alias("archivos"))
 
 
+@query("detail_element_texts", "SELECT rec_id, 'Texto|Otra vez' AS textos, '/d/' || rec_id || '.pdf|/v/1' AS enlaces FROM final_projects")
+def q_element_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts of elements, and links labelled by an attribute they lack; the first of a list with a second after it."""
+    rows = _detail(spark, sf, "textos", "enlaces")
+    return rows.select("rec_id", F.array_join("textos", "|").alias("textos"), F.array_join(F.transform("enlaces", lambda e: e["label"]), "|").alias("enlaces"))
+
+
 @query(
     "detail_find_all_index",
     """SELECT rec_id, coalesce(strftime(fecha_camara, '%Y-%m-%d'), strftime(fecha_senado, '%Y-%m-%d'), '') AS fecha_camara,
@@ -451,43 +576,52 @@ def q_second_hop(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- a whole run ----------------------------------------------------------------------------------------------------------
 
-RUN = {
-    "portal": {"domain": "https://portal.invalid", "base_url": "https://portal.invalid/list"},
-    "pipeline": [{"type": "list"}, {"type": "detail", "input_key": "detail_url"}],
-    "selectors": {
-        "list": {
-            "row_selector": "tr", "cell_selector": "td", "detail_link_selector": "td:nth-child(3) a", "detail_link_exclude": {"href_suffix": ".pdf", "text": "ver documento"},
-            "title_regex": "Título:\\s*“(.+?)”", "fields": {"no_camara": "td:nth-child(1)", "no_senado": "td:nth-child(2)", "proyecto": "td:nth-child(3)", "tipo": "td:nth-child(4)"},
-            "hash": {"key": "row_hash", "fields": ["no_camara", "no_senado", "proyecto", "detail_url"]},
-        },
-        "detail": {"fields": {"objeto": {"regex": r"Objeto de proyecto:\s*(.*?)Observaciones:"}, "documentos": DETAIL["documentos"]}},
-    },
-    "storage": {
-        "raw": {"table": "raw", "primary_key": "row_hash", "lookup_key": "no_camara", "columns": _RAW_COLUMNS},
-        "final": {"table": "final", "primary_key": "row_hash", "lookup_key": "no_camara", "columns": {"no_camara": "TEXT", "no_senado": "TEXT", "titulo": "TEXT", "objeto": "TEXT", "documentos": "JSONB", "sector": "TEXT", "row_hash": "TEXT"}},
-    },
-    "classifier": {"titulo": "titulo", "detalle": "objeto"},
-}
+_EXAMPLE = Path(__file__).parent / "plans" / "example.yml"
 _P, _TITLE = _CLEAN("proyecto"), sql_strip("regexp_extract(" + _MARKED + " || '”', '(?s)^(.+?)”', 1)")
 
 
-@query(
-    "pipeline_run",
-    f"""WITH r AS (SELECT raw_id, {sql_strip(_CLEAN("no_camara"))} AS no_camara, {sql_strip(_CLEAN("no_senado"))} AS no_senado, {_P} AS p,
+_LISTED = f"""WITH r AS (SELECT raw_id, {sql_strip(_CLEAN("no_camara"))} AS no_camara, {sql_strip(_CLEAN("no_senado"))} AS no_senado, {_P} AS p,
       {sql_strip(f"concat('PDFVer Documento', {_P}, 'Título: “', {_P}, '”')")} AS proyecto, 'https://portal.invalid/p/' || raw_id AS detail_url,
       CASE WHEN {_P} = '' THEN {sql_strip(_CLEAN("no_camara"))} ELSE {_TITLE} END AS titulo, {sql_strip(_P)} AS objeto FROM raw_projects),
     h AS (SELECT *, md5({sql_json(["no_camara", "no_senado", "proyecto", "detail_url"])}) AS row_hash, concat(titulo, ' ', objeto) AS t FROM r WHERE no_camara <> '')
-    SELECT no_camara, CASE WHEN {sql_strip("no_senado")} <> '' THEN no_senado END AS no_senado, CASE WHEN {sql_strip("titulo")} <> '' THEN titulo END AS titulo,
+"""
+
+
+@query(
+    "pipeline_run",
+    _LISTED + f"""SELECT no_camara, CASE WHEN {sql_strip("no_senado")} <> '' THEN no_senado END AS no_senado, CASE WHEN {sql_strip("titulo")} <> '' THEN titulo END AS titulo,
       CASE WHEN {sql_strip("objeto")} <> '' THEN objeto END AS objeto, '[{{"label":"Texto","url":"https://portal.invalid/d/' || raw_id || '.pdf"}}]' AS documentos,
       CASE WHEN {_CASE} = '' THEN 'otros' ELSE {_CASE} END AS sector, row_hash FROM h""",
 )
 def q_run(spark: SparkSession, sf: str) -> DataFrame:
     """List pages, delta against an empty store, detail pages, rules, conformance and upsert of all raw_projects rows."""
-    spec = pipeline_spec(RUN, {"rules": [{"pattern": p, "category": c} for p, c in RULES], "categories": CATEGORIES}, first_n=None)
-    root = work_path(spark, "pipeline")
+    spec, root, pages = _run_inputs(spark, sf)
+    run(spark, spec, root, *pages)
+    return final_table(spark, spec, root).read()
+
+
+def _run_inputs(spark: SparkSession, sf: str) -> tuple[PipelineSpec, str, tuple[DataFrame, DataFrame]]:
+    spec = load_spec(str(_EXAMPLE), first_n=None, rules=tuple(RULES), categories=tuple(CATEGORIES))
     listing = list_pages(spark, sf).withColumnRenamed("raw_id", "page_no")
     n = F.col("raw_id").cast("string")
     html = F.concat(F.lit("<p>Objeto de proyecto: "), escaped(F.col("proyecto")), F.lit('<p>Observaciones: ninguna<a href="/d/'), n, F.lit('.pdf">Texto</a>'))
     detail = table(spark, sf, "raw_projects").select(F.concat(F.lit("https://portal.invalid/p/"), n).alias("url"), html.alias("html"))
-    run(spark, spec, root, listing, detail)
-    return final_table(spark, spec, root).read()
+    return spec, work_path(spark, "pipeline"), (listing, detail)
+
+
+@query("second_run_counts", _LISTED + "SELECT count(*) AS listed, count(*) FILTER (row_hash <> k) AS to_detail, count(*) FILTER (row_hash = k) AS bypass FROM (SELECT row_hash, max(row_hash) OVER (PARTITION BY no_camara) AS k FROM h)")
+def q_second_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run over the pages of the run before: what is stored as it is goes by; of several readings of a bill one is stored last."""
+    spec, root, pages = _run_inputs(spark, sf)
+    run(spark, spec, root, *pages)
+    again = run(spark, spec, root, *pages)
+    return spark.createDataFrame([(again.listed, again.to_detail, again.bypass)], "listed bigint, to_detail bigint, bypass bigint")
+
+
+@query("run_log_counts", _LISTED + "SELECT count(*) AS listed, count(*) AS to_detail, 0 AS bypass, count(DISTINCT row_hash) AS stored, 0 AS failed_pages FROM h")
+def q_run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """The counts that a run leaves in its log."""
+    spec, root, pages = _run_inputs(spark, sf)
+    run(spark, spec, root, *pages)
+    kept = ["listed", "to_detail", "bypass", "stored", "failed_pages"]
+    return log_table(spark, root).read().select(*[F.get_json_object("counts", f"$.{k}").cast("bigint").alias(k) for k in kept])

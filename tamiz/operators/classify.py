@@ -91,8 +91,8 @@ def ask(prompts: DataFrame, model: Model) -> DataFrame:
         def one(prompt: str) -> str:
             try:
                 return model(prompt) or ""
-            except Exception:
-                log.exception("the model failed")
+            except Exception as e:
+                log.warning("the model failed: %r", e)
                 return ""
 
         for f in frames:

@@ -27,7 +27,7 @@ from tamiz.operators.metrics import counted
 from tamiz.operators.store import SnapshotTable, first_per_key
 from tamiz.plans.spec import PipelineSpec
 from tamiz.session import scratch
-from tamiz.sources.pages import Get, dead_letters, fetch_in_rounds, fetch_pages, good_pages, http_get
+from tamiz.sources.pages import Get, dead_letters, fetch_in_rounds, fetch_pages, good_pages, http_get, refreshed
 
 
 @dataclass(frozen=True)
@@ -96,9 +96,10 @@ def _run(
     model: Model | None, live: bool, get: Get, stage: Callable[[DataFrame, str], DataFrame],
 ) -> RunResult:
     failed = 0
+    policy = refreshed(spec.fetch, get) if live else spec.fetch
     if list_pages is None:
         urls = page_urls(spark, spec.base_url, spec.max_pages)
-        fetched = fetch_in_rounds(urls, spec.fetch, spec.list_concurrency, spec.list_rounds, stage, get)
+        fetched = fetch_in_rounds(urls, policy, spec.list_concurrency, spec.list_rounds, stage, get)
         lost = dead_letters(fetched)
         failed = lost.count()
         if failed:
@@ -122,7 +123,7 @@ def _run(
 
     if detail_pages is None and live:
         urls = todo.select(F.col(spec.input_key).alias("url"))
-        detail_pages = good_pages(stage(fetch_pages(urls, spec.fetch, spec.detail_concurrency, get), "detail-pages"), "failfast")
+        detail_pages = good_pages(stage(fetch_pages(urls, policy, spec.detail_concurrency, get), "detail-pages"), "failfast")
     merged = todo if detail_pages is None else detailed_records(spec, todo, detail_pages, hop_pages)
     ordered = clean(merged, spec.final.lookup_key, spec.aliases)
     for missing in {spec.title_field, spec.detail_field} - set(ordered.columns):

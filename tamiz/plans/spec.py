@@ -125,6 +125,7 @@ def pipeline_spec(cfg: Mapping[str, Any], classifier: Mapping[str, Any] | None =
         "fetch": FetchPolicy(
             attempts=int(retry.get("attempts", 3)), kind=backoff.get("type", "exponential"), multiplier=float(backoff.get("multiplier", 1)),
             most=float(backoff.get("max_delay", 30)), jitter=bool(backoff.get("jitter", True)), timeout=float(cfg.get("request", {}).get("timeout", 15)),
+            proxy_page=cfg.get("request", {}).get("proxy_page"), agents=tuple(cfg.get("request", {}).get("agents", FetchPolicy.agents)),
         ),
         "list_concurrency": int(concurrency.get(stages["list"].get("concurrency"), 1)), "detail_concurrency": int(concurrency.get(detail.get("concurrency"), 1)),
         "rules": tuple(valid_rules(c.get("rules", ()))), "categories": tuple(c.get("categories", ())), "batch_size": int((c.get("gemini") or {}).get("batch_size", 20)),

@@ -10,9 +10,11 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamiz.functions.retry import wait_of
@@ -30,9 +32,17 @@ PAGE_SCHEMA = "url string, html string, status int, attempts int, error string"
 Get = Callable[[str, dict[str, str], str | None, float], tuple[int, str]]
 
 
+@lru_cache(maxsize=64)
+def _session(proxy: str | None) -> urllib.request.OpenerDirector:
+    """What a worker keeps between its requests: an opener with cookies, one for each proxy."""
+    handlers: list[urllib.request.BaseHandler] = [urllib.request.HTTPCookieProcessor()]
+    if proxy:
+        handlers.append(urllib.request.ProxyHandler({"http": proxy, "https": proxy}))
+    return urllib.request.build_opener(*handlers)
+
+
 def http_get(url: str, headers: dict[str, str], proxy: str | None, timeout: float) -> tuple[int, str]:
-    handlers = [urllib.request.ProxyHandler({"http": proxy, "https": proxy})] if proxy else []
-    with urllib.request.build_opener(*handlers).open(urllib.request.Request(url, headers=headers), timeout=timeout) as r:
+    with _session(proxy).open(urllib.request.Request(url, headers=headers), timeout=timeout) as r:
         return r.status, r.read().decode(r.headers.get_content_charset() or "utf-8", errors="replace")
 
 
@@ -49,6 +59,7 @@ class FetchPolicy:
     proxies: tuple[str, ...] = ()
     proxy_tries: int = 20
     check_url: str | None = None
+    proxy_page: str | None = None
     agents: tuple[str, ...] = ("tamiz/1",)
 
 
@@ -113,8 +124,6 @@ def fetch_pages(urls: DataFrame, policy: FetchPolicy, concurrency: int = 5, get:
     """
 
     def run(frames: Iterator) -> Iterator:
-        import pandas as pd
-
         for f in frames:
             rows = [fetch(u, policy, get) for u in f["url"]]
             yield pd.DataFrame(rows, columns=["url", "html", "status", "attempts", "error"]).astype({"status": "Int32", "attempts": "Int32"})
@@ -203,6 +212,27 @@ def proxy_table(html: str, most: int = 50) -> list[str]:
     return found[:most]
 
 
+def refreshed(policy: FetchPolicy, get: Get = http_get) -> FetchPolicy:
+    """``policy`` with the proxies that its ``proxy_page`` lists now; as it was where the page fails or lists none."""
+    if not policy.proxy_page:
+        return policy
+    try:
+        found = proxy_table(get(policy.proxy_page, headers_for(policy.proxy_page, 1, policy.agents), None, policy.timeout)[1])
+    except Exception:
+        return policy
+    return replace(policy, proxies=tuple(found)) if found else policy
+
+
+def proxies_of(html: Column) -> Column:
+    """:func:`proxy_table` of each page."""
+
+    @F.pandas_udf("array<string>")
+    def found(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda t: proxy_table(t or ""))
+
+    return found(html)
+
+
 def usable_proxies(pool: DataFrame, failed: DataFrame, order: str, most: int = 50) -> DataFrame:
     """Proxies ``proxy, https`` for https that have not failed, the first ``most`` in order (a feature of the pool)."""
     fit = pool.where(F.lower(F.trim("https")) == "yes")

@@ -425,6 +425,45 @@ def test_http_source(spark, tmp_path):
     assert sorted((r.html or "", r.status or 0) for r in rows) == [("", 0), ("<p>hola</p>", 200)]
 
 
+def test_model_behind_http(spark):
+    import http.server
+    import json
+    import threading
+
+    from tamiz.sources.models import HttpModel
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["parts"][0]["text"]
+            ids = [line.split(":")[0] for line in asked.splitlines()]
+            said = json.dumps({"out": [{"text": json.dumps([{"id": i, "label": "salud"} for i in ids])}]}).encode()
+            self.send_response(200 if "2" not in ids else 500)
+            self.end_headers()
+            self.wfile.write(said)
+
+        def log_message(self, *a):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        model = HttpModel(f"http://127.0.0.1:{server.server_port}/", {"parts": [{"text": "{prompt}"}]}, ("out", 0, "text"), policy=FetchPolicy(attempts=2, kind="fixed", multiplier=0, jitter=False))
+        rows = spark.createDataFrame([("1", "a", None), ("2", "b", None)], "id string, title string, detail string")
+        got = {r.id: r.sector for r in classify(rows, "id", "title", "detail", [], ["salud"], model, 1).collect()}
+    finally:
+        server.shutdown()
+    assert got == {"1": "salud", "2": "otros"}
+
+
+def test_proxies_are_refreshed_or_kept():
+    from tamiz.sources.pages import refreshed
+
+    html = "<table id=proxylisttable><tr><th>h<tr>" + "".join(f"<td>{c}" for c in ("1.2.3.4", "80", "", "", "", "", "yes")) + "</table>"
+    policy = FetchPolicy(proxies=("old",), proxy_page="list")
+    assert refreshed(policy, lambda *a: (200, html)).proxies == ("http://1.2.3.4:80",)
+    assert refreshed(policy, lambda *a: (200, "")) is policy and refreshed(policy, lambda *a: 1 / 0) is policy and refreshed(FetchPolicy(), None).proxies == ()
+
+
 def test_only_small_scans_are_spread(spark, tmp_path):
     from tamiz.session import spread
 
