@@ -42,18 +42,22 @@ _SEEDS = np.array([0x9E3779B97F4A7C15 * (k + 1) & 0xFFFFFFFFFFFFFFFF for k in ra
 _SHIFT, _FACTOR = np.uint64(33), np.uint64(0xFF51AFD7ED558CCD)
 
 
-def minwise(title: str) -> list[int]:
-    """The least hash of the title's character triples under each seed."""
-    t = title.replace(".", "").replace(" ", "")
-    triples = {t[i : i + 3] for i in range(max(1, len(t) - 2))}
-    h = np.fromiter((xxhash.xxh64_intdigest(x) for x in triples), dtype=np.uint64, count=len(triples))[:, None] ^ _SEEDS
+def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> _SHIFT)) * _FACTOR
-    return (h ^ (h >> _SHIFT)).min(axis=0).tolist()
+    return h ^ (h >> _SHIFT)
+
+
+def minwise(title: str) -> np.ndarray:
+    """The least hash of the title's character triples under each seed; a shorter title is one triple."""
+    t = np.frombuffer(title.replace(".", "").replace(" ", "").ljust(3).encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    triples = (t[:-2] << np.uint64(42)) ^ (t[1:-1] << np.uint64(21)) ^ t[2:]  # a character has at most 21 bits
+    return _mixed(_mixed(triples * _FACTOR)[:, None] ^ _SEEDS).min(axis=0)
 
 
 def band_keys(identity: str, title: str) -> list[int]:
     """Band keys of a record: a key names the identity, the band and the least hash of the title's character triples."""
-    return [xxhash.xxh64_intdigest(f"{identity}|{k}|{least}") - (1 << 63) for k, least in enumerate(minwise(title))]
+    own = np.uint64(xxhash.xxh64_intdigest(identity))
+    return _mixed((minwise(title) ^ own) * _FACTOR + _SEEDS).view(np.int64).tolist()
 
 
 def edits(a: str, b: str, most: int) -> int:

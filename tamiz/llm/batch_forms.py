@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 from urllib.parse import urlsplit
 
 _LOOKS = str.maketrans("oOlI|", "00111")
@@ -19,6 +20,7 @@ def fold(text: str) -> str:
     return "".join(c for c in t if not unicodedata.combining(c)).casefold()
 
 
+@lru_cache(1 << 16)
 def numbered(text: str | None, digits: int = 4) -> str:
     """``number/year`` and the letter of the chamber of a file number; the folded text where it is none; ``''`` for blank.
 
@@ -39,6 +41,7 @@ def numbered(text: str | None, digits: int = 4) -> str:
     return f"{number}/{year}{letter.group() if letter else ''}"
 
 
+@lru_cache(1 << 16)
 def address(text: str | None) -> str:
     """Host and path of an address; scheme, ``www``, letter case, doubled and closing slashes, query and fragment go."""
     if text is None or not text.strip():
