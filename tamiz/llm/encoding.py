@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -47,8 +48,8 @@ HALF = {"ÃƒÂ": "íÍÁ", "ãƒâ": "íá", "Ã": "íÍÁ", "ã": "íá", "Ă"
 MOST_WORDS = 500_000
 #: Score of a pair that no correct text holds (a replacement mark), and least score of a no-break space beside a letter.
 MARKED, BESIDE = 12.0, 1.0
-#: Words of plain and Spanish letters with at least one accented one, for the table above.
-_WORD = re.compile(f"[A-Za-z]*[{LETTERS}][A-Za-z{LETTERS}]*")
+#: Words of plain and Spanish letters; those with an accented one make the table above.
+_WORD = re.compile(f"[A-Za-z{LETTERS}]+")
 _BLANKED = re.compile(f"[{LETTERS}?{LOST}]")
 _SPACED = re.compile(f"[A-Za-z{LETTERS}]+\xa0[A-Za-z{LETTERS}]+")
 _HOLED = re.compile(f"[A-Za-z{LETTERS}?{LOST}]+")
@@ -102,6 +103,18 @@ def padded(text: str) -> str:
     return f"\n{text}\n"
 
 
+def pairs_of(text: str) -> list[tuple[str, str, int]]:
+    """Adjacent characters of ``text`` with their number."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
+    seen = np.flatnonzero(np.bincount(points))
+    number = np.zeros(int(seen[-1]) + 1, dtype=np.int64)
+    number[seen] = np.arange(len(seen))
+    both = number[points[:-1]] * len(seen) + number[points[1:]]
+    found, n = np.unique(both, return_counts=True) if len(seen) > 2_000 else ((c := np.bincount(both)).nonzero()[0], c[c > 0])
+    chars = [chr(p) for p in seen.tolist()]
+    return [(chars[k // len(seen)], chars[k % len(seen)], int(m)) for k, m in zip(found.tolist(), n.tolist(), strict=True)]
+
+
 def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
     """Pairs of adjacent characters in all values of ``columns``, and accented words; ends of values count as line breaks.
 
@@ -127,11 +140,11 @@ def pair_counts(docs: DataFrame, columns: list[str]) -> PairModel:
             return out
 
         for b in batches:
-            for t in b.column(0).to_pylist():
-                p = padded(t)
-                pairs.update(map(str.__add__, p, p[1:]))
-                words.update(w.lower() for w in _WORD.findall(t))
-                holed.update(_needed(t))
+            text = padded("\n".join(b.column(0).to_pylist()))
+            for a, c, n in pairs_of(text):
+                pairs[a + c] += n
+            words.update(w.lower() for w in _WORD.findall(text) if not w.isascii())
+            holed.update(_needed(text))
             if len(pairs) + len(words) + len(holed) > 200_000:
                 yield flush()
         yield flush()
@@ -333,6 +346,24 @@ def repair(text: str, model: PairModel, cost: dict[tuple[str, str], float]) -> t
     return "".join(out), garbled
 
 
+def restored(texts: pa.Array, model: PairModel | None, cost: dict[tuple[str, str], float], known: dict[str, str]) -> pa.Array:
+    """A batch of texts with their garbled parts restored; those on which no mapping can act are passed over at once.
+    ``known`` remembers texts of ordinary length."""
+    if model is None:
+        return texts
+    suspect = pc.fill_null(pc.match_substring_regex(texts, SUSPECT), False)
+    changed = []
+    for t in texts.filter(suspect).to_pylist():
+        if (got := known.get(t)) is None:
+            if len(known) > 20_000:
+                known.clear()
+            got = repair(t, model, cost)[0]
+            if len(t) <= 2_000:
+                known[t] = got
+        changed.append(got)
+    return pc.replace_with_mask(texts, suspect, pa.array(changed, texts.type)) if changed else texts
+
+
 def _several(text: str, i: int, before: str, model: PairModel) -> tuple[str | None, int]:
     """What a stretch from ``i`` on is as UTF-8 that was wrongly shown, the longest stretch first, and its length."""
     for size in range(min(14, len(text) - i), 1, -1):

@@ -17,12 +17,13 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamiz.llm.encoding import PairModel, repair
-from tamiz.llm.words import words
+from tamiz.llm.encoding import PairModel, repair, restored
+from tamiz.llm.words import word_arrays, words
 from tamiz.session import spread, staged
 
 #: Words that make no item: fixed values.
@@ -71,7 +72,10 @@ class SubjectRules:
 
     def evidence(self, items: list[str]) -> dict[str, float]:
         """Evidence for each subject that any rule points to."""
-        held = {self.stands_for[i] for i in items if i in self.stands_for}
+        return self.evidence_of({self.stands_for[i] for i in items if i in self.stands_for})
+
+    def evidence_of(self, held: set[str]) -> dict[str, float]:
+        """Evidence for each subject, from the items that a record's items stand for."""
         matched = [k for i in held for k in self.by_item.get(i, ()) if self.rules[k][0] <= held]
         said = {(self.words[k], self.rules[k][1]) for k in matched}
         doubt: dict[str, float] = defaultdict(lambda: 1.0)
@@ -88,6 +92,40 @@ class SubjectRules:
         return self.calibration[max(0, k)][1]
 
 
+class ItemReader:
+    """Finds, for a batch of records at once, what the items of :func:`text_items` stand for in rules."""
+
+    def __init__(self, rules: SubjectRules):
+        self.names = sorted(set(rules.stands_for.values()))
+        number = {n: k for k, n in enumerate(self.names)}
+        self.items = {i: number[s] for i, s in rules.stands_for.items()}
+        self.paired = {w for i in self.items if " " in i for w in i.split()}
+
+    def held(self, columns: list[pa.Array], n: int) -> list[tuple[int, ...]]:
+        """Numbers into ``names`` for each of ``n`` records, whose texts are ``columns``."""
+        found = [np.empty(0, dtype=np.int64)]
+        width = max(1, len(self.names))
+        for c in columns:
+            tokens, code, doc, _ = word_arrays(c)
+            content = np.array([w not in STOP and len(w) > 2 and not w[0].isdigit() for w in tokens], dtype=bool)
+            kept = content[code] if len(code) else np.empty(0, dtype=bool)
+            code, doc = code[kept].astype(np.int64), doc[kept]
+            alone = np.array([self.items.get(w, -1) for w in tokens], dtype=np.int64)
+            paired = np.array([w in self.paired for w in tokens], dtype=bool)
+            if not len(code):
+                continue
+            one = alone[code]
+            found.append(doc[one >= 0] * width + one[one >= 0])
+            near = (doc[1:] == doc[:-1]) & paired[code[1:]] & paired[code[:-1]]
+            pairs, back = np.unique(code[:-1][near] * len(tokens) + code[1:][near], return_inverse=True)
+            two = np.array([self.items.get(f"{tokens[p // len(tokens)]} {tokens[p % len(tokens)]}", -1) for p in pairs.tolist()], dtype=np.int64)[back] if len(pairs) else np.empty(0, dtype=np.int64)
+            found.append((doc[:-1][near] * width)[two >= 0] + two[two >= 0])
+        both = np.unique(np.concatenate(found))
+        ends = np.searchsorted(both, np.arange(1, n + 1) * width).tolist()
+        own = (both % width).tolist()
+        return [tuple(own[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
+
 def record_items(rows: DataFrame, keys: list[str], texts: list[str], model: PairModel | None) -> DataFrame:
     """``keys`` and ``items`` of each record; garbled texts are restored by ``model`` first."""
 
@@ -278,19 +316,20 @@ def score_subjects(rows: DataFrame, key: str, texts: list[str], rules: SubjectRu
     NULL, empty and blank texts have the subject ``none``; repeated rows give repeated results; other columns are ignored.
     """
     key_type = rows.schema[key].dataType.simpleString()
+    reader = ItemReader(rules)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cost: dict[tuple[str, str], float] = {}
-        known: dict[tuple[str | None, ...], list[tuple[str, float]]] = {}
+        known: dict[tuple[int, ...], list[tuple[str, float]]] = {}
+        texts_known: dict[str, str] = {}
         for b in batches:
             at, subjects, probabilities = [], [], []
-            for i, ts in enumerate(zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)):
-                if (got := known.get(ts)) is None:
-                    if len(known) > 20_000 or sum(len(t or "") for t in ts) > 5_000:
+            for i, held in enumerate(reader.held([restored(c, model, cost, texts_known) for c in b.columns[1:]], b.num_rows)):
+                if (got := known.get(held)) is None:
+                    if len(known) > 100_000:
                         known.clear()
-                    items = text_items([repair(t, model, cost)[0] if t and model else t for t in ts])
-                    sure = [(s, rules.probability(round(e, 3))) for s, e in rules.evidence(items).items()]
-                    got = known[ts] = sorted((s, p) for s, p in sure if p >= least) or [(none, 1 - max((p for _, p in sure), default=0.0))]
+                    sure = [(s, rules.probability(round(e, 3))) for s, e in rules.evidence_of({reader.names[k] for k in held}).items()]
+                    got = known[held] = sorted((s, p) for s, p in sure if p >= least) or [(none, 1 - max((p for _, p in sure), default=0.0))]
                 for s, p in got:
                     at.append(i)
                     subjects.append(s)

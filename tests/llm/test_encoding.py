@@ -101,3 +101,13 @@ def test_texts_without_suspects_are_left_as_they_are():
     for t in ["", "Ley", "La acción de la región ÑANDÚ, 2º"]:
         assert not re.search(SUSPECT, t) or "º" in t
         assert repair(t.replace("º", ""), model, {}) == (t.replace("º", ""), False)
+
+
+def test_pairs_of_a_text():
+    from tamiz.llm.encoding import pairs_of
+
+    for text in ["ab", "abab\nñ😀", "".join(map(chr, range(0x4E00, 0x4E00 + 2500)))]:
+        want = {}
+        for p in zip(text, text[1:]):
+            want[p] = want.get(p, 0) + 1
+        assert {(a, b): n for a, b, n in pairs_of(text)} == want

@@ -9,7 +9,7 @@ import time
 import pytest
 
 from tamiz.llm import subjects
-from tamiz.llm.subjects import MIN_BILLS, MIN_CERTAINTY, MIN_CONFIDENCE, MIN_COUNT, PRIOR, SubjectRules, isotonic, mine_views, prune, score_subjects, text_items, train_subjects
+from tamiz.llm.subjects import MIN_BILLS, MIN_CERTAINTY, MIN_CONFIDENCE, MIN_COUNT, PRIOR, ItemReader, SubjectRules, isotonic, mine_views, prune, score_subjects, text_items, train_subjects
 
 MATTERS = {
     "salud": ["la atención de pacientes con dengue", "el registro clínico de tuberculosis", "la vacunación contra el asma"],
@@ -154,3 +154,14 @@ def test_more_rules_than_can_be_held_are_an_error(spark, monkeypatch):
     monkeypatch.setattr(subjects, "MOST_RULES", 5)
     with pytest.raises(ValueError, match="rules"):
         mine_views(spark.createDataFrame(rows, LABELLED))
+
+
+def test_items_of_batches_are_those_of_records():
+    import pyarrow as pa
+
+    texts = [["La atención de los pacientes, 2020", None, "", "atención pacientes", "pacientes atención"], ["x", "Los pacientes", None, " ", "la"]]
+    rules = SubjectRules([], {"atencion": "atencion", "atencion pacientes": "ap", "pacientes": "atencion", "pacientes atencion": "pa"}, [])
+    reader = ItemReader(rules)
+    got = reader.held([pa.array(t, pa.string()) for t in texts], 5)
+    want = [{rules.stands_for[i] for i in text_items(list(ts)) if i in rules.stands_for} for ts in zip(*texts, strict=True)]
+    assert [{reader.names[k] for k in g} for g in got] == want
