@@ -27,6 +27,8 @@ from tamiz.session import spread, staged, work_path
 #: Band keys of a record, each the least hash of its character triples under its own seed. Two titles that share half of
 #: their triples agree in at least one of twelve but for one case in four thousand.
 BANDS = 12
+#: Letters of a title up to which all titles of one identity share a key besides: they have too few triples to rely on.
+SHORT = 20
 #: Records of a bucket of the index, on the mean, beyond which all buckets are split; least buckets.
 BUCKET_RECORDS, LEAST_BUCKETS = 65_536, 16
 #: Most forms of a batch whose band keys are broadcast to the index (some 150 MB); those of larger ones are shuffled with it.
@@ -55,9 +57,11 @@ def minwise(title: str) -> np.ndarray:
 
 
 def band_keys(identity: str, title: str) -> list[int]:
-    """Band keys of a record: a key names the identity, the band and the least hash of the title's character triples."""
+    """Band keys of a record: a key names the identity, the band and the least hash of the title's character triples; a short
+    title has one more, which names the identity."""
     own = np.uint64(xxhash.xxh64_intdigest(identity))
-    return _mixed((minwise(title) ^ own) * _FACTOR + _SEEDS).view(np.int64).tolist()
+    keys = _mixed((minwise(title) ^ own) * _FACTOR + _SEEDS).view(np.int64).tolist()
+    return [*keys, int(own.view(np.int64))] if len(title.replace(".", "").replace(" ", "")) <= SHORT else keys
 
 
 def edits(a: str, b: str, most: int) -> int:

@@ -91,6 +91,18 @@ def test_replay_equals_brute_force(spark, monkeypatch, hot):
     assert got == replay(spark, made)
 
 
+def test_short_titles_miss_nothing(spark):
+    rng = random.Random(8)
+    made = []
+    for i in range(1, 241):
+        w = list(rng.choice(["paramo", "cafe organico", "ley seca", "reforestacion", "x"]))
+        for _ in range(rng.choice([0, 1, 1, 2])):
+            w[rng.randrange(len(w))] = rng.choice("aeiourst")
+        made.append((i, 1 + i // 60, rng.choice(["001/2020C", "002/2020C"]), None, "".join(w), URL))
+    got = {r.raw_id: r.leader for r in deduplicate_batches(spark.createDataFrame(made, SCHEMA), "load_no").collect()}
+    assert got == replay(spark, made)
+
+
 def test_late_rows_belong_to_the_step_in_which_they_arrive(spark):
     made = [(i, 1 if i % 50 == 0 else load, *rest) for i, load, *rest in writings(200)]
     got = {r.raw_id: r.leader for r in deduplicate_batches(spark.createDataFrame(made, SCHEMA), "load_no").collect()}
