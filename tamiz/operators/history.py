@@ -56,6 +56,8 @@ def attribute_history(
     )
     in_day = Window.partitionBy(_K, _DAY).orderBy(_T)
     marked = points.withColumn("__prev", F.lag(_H).over(in_day)).withColumn("__mark", F.when(F.col("__prev") != F.col(_H), 1).otherwise(0))
+    # Only rows that may open a version take their state further.
+    marked = marked.withColumn("__state", F.when(F.col("__prev").isNull() | (F.col("__mark") == 1), F.col("__state")))
     days = marked.groupBy(_K, _DAY).agg(
         F.min_by(_H, _T).alias("__first"), F.max_by(_H, _T).alias("__last"), F.sum("__mark").alias("__inner")
     )
