@@ -102,8 +102,28 @@ def test_rarest_words_of_a_passage_may_be_the_changed_ones(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)]
 
 
+def test_blocks_within_a_segment_make_no_difference(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tamiz.llm.leakage import Passages, Segment, index_schema
+
+    rng = random.Random(11)
+    items = [[f"w{rng.randint(0, 80)}" for _ in range(rng.randint(12, 50))] for _ in range(15)]
+    docs = [(i, " ".join([*rng.choice(items)[:20], "y", *rng.choice(items), *rng.choice(items)])) for i in range(60)]
+    index = positional_index(spark.createDataFrame(docs, "doc_id bigint, text string").coalesce(1), "doc_id", "text")
+    passages = Passages([(w, [False] * len(w)) for w in items], 12)
+    passages.seed(leakage.document_frequencies(index, passages.vocabulary))
+    batch = pa.RecordBatch.from_pylist([r.asDict(recursive=True) | {c: bytes(r[c]) for c in ("lengths", "starts", "docs", "places", "facing")} for r in index.collect()])
+    assert [f.name for f in batch.schema] == index_schema(index.schema["keys"].dataType.elementType).names
+    want = [sorted(passages.search(Segment(batch, i))) for i in range(batch.num_rows)]
+    assert sum(map(len, want)) > 60
+    monkeypatch.setattr(leakage, "MOST_HITS", 50)
+    monkeypatch.setattr(leakage, "MOST_CELLS", 3000)
+    assert [sorted(passages.search(Segment(batch, i))) for i in range(batch.num_rows)] == want
+
+
 def test_every_allowed_edit_is_found(spark, monkeypatch):
-    """Random quotes with random edits against brute force over all pairs, in small segments and blocks of passages."""
+    """Random quotes with random edits against brute force over all pairs, in blocks of passages."""
     rng = random.Random(3)
     common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(300)]
     word = lambda: rng.choice(common) if rng.random() < 0.5 else rng.choice(rare)
@@ -124,8 +144,6 @@ def test_every_allowed_edit_is_found(spark, monkeypatch):
     want = {(d, i) for d, t in docs for i, p in items if holds_passage(cased_words(t), told_words(p))}
     assert len(want) > 100
     monkeypatch.setattr(leakage, "BLOCK_WORDS", 300)
-    monkeypatch.setattr(leakage, "MOST_HITS", 500)
-    monkeypatch.setattr(leakage, "MOST_CELLS", 5000)
     got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), "doc_id", "text", "item_id", "text").collect()
     assert want <= {(r.doc_id, r.item_id) for r in got} and len(got) == len({(r.doc_id, r.item_id) for r in got})
     extra = {(r.doc_id, r.item_id) for r in got} - want
