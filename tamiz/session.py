@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -50,8 +51,25 @@ def work_root(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`work_root`, for a table that one run writes and reads."""
-    return f"{work_root(spark).rstrip('/')}/tamiz/{label}-{uuid.uuid4().hex}"
+    """A fresh path below :func:`work_root`, for a table that one program writes and reads; it is removed when that ends."""
+    path = f"{work_root(spark).rstrip('/')}/tamiz/{label}-{uuid.uuid4().hex}"
+    if not _work:
+        atexit.register(_tidy)  # runs before the session's own end, which was registered earlier
+    _work.add(path)
+    return path
+
+
+#: Paths given by :func:`work_path` that are still there.
+_work: set[str] = set()
+
+
+def _tidy() -> None:
+    spark = SparkSession.getActiveSession()
+    for path in list(_work) if spark is not None else []:
+        try:
+            remove(spark, path)
+        except Exception:  # the session is gone; what is left lies in the work folder
+            return
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -65,6 +83,7 @@ def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder of :func:`work_path` that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    _work.discard(path)
 
 
 @contextmanager
