@@ -31,7 +31,7 @@ BANDS = 12
 SHORT = 20
 #: Records of a bucket of the index, on the mean, beyond which all buckets are split; least buckets.
 BUCKET_RECORDS, LEAST_BUCKETS = 65_536, 16
-#: Most forms of a batch whose band keys are broadcast to the index (some 150 MB); those of larger ones are shuffled with it.
+#: Most forms of a batch whose band keys are broadcast to the index (some 100 MB); those of larger ones are shuffled with it.
 BROADCAST_FORMS = 200_000
 #: Forms that a task resolves, on the mean, in a large batch.
 FORMS_PER_TASK = 20_000
@@ -224,10 +224,10 @@ class BatchIndex:
         small = F.broadcast if size <= BROADCAST_FORMS else lambda df: df
         held = self.read(touched).select("place", F.col("first").alias("accepted"), F.col("title").alias("theirs"), F.col("signature").alias("keys"))
         # Records of other identities are dropped before the keys are laid out.
-        held = held.join(small(forms.select("place").distinct()), "place", "left_semi").select("accepted", "theirs", "keys", F.explode("keys").alias("band"))
-        mine = forms.select("first", "signature", F.explode("signature").alias("band"))
-        met = held.join(small(mine), "band")
-        return met.where(F.element_at(F.array_intersect("signature", "keys"), 1) == F.col("band")).select("first", "accepted", "theirs")
+        held = held.join(small(forms.select("place").distinct()), "place", "left_semi").select("accepted", "theirs", F.explode("keys").alias("band"))
+        met = held.join(small(forms.select("first", F.explode("signature").alias("band"))), "band")
+        # A pair that shares several keys comes out of one task, and leaves it once.
+        return met.groupBy("first", "accepted").agg(F.first("theirs").alias("theirs"))
 
     def check(self, forms: DataFrame) -> str:
         """Checks a batch of :func:`signed_forms`, appends what is new to the index, and gives the folder of the result.

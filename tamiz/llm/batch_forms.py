@@ -7,17 +7,25 @@ import unicodedata
 from functools import lru_cache
 from urllib.parse import urlsplit
 
+import regex
+
 _LOOKS = str.maketrans("oOlI|", "00111")
 _NUMBER = re.compile(r"(?<![^\W_])([\dol]{1,6})\s*(?:[/\-_\s]|\bde\b)+\s*([\dol]{2,4})(?![\d])")
 _NOISE = re.compile(r"^(?:\W|_|proyecto|de|ley|pl|p\.\s?l|no|nro|num|numero)+(?=[\dol])")
 _TOKEN = re.compile(r"(?:[^\W_]|[?\ufffd](?=[^\W_])|(?<=[^\W_])[?\ufffd])+\.?")
 _TAIL = re.compile(r"[^\W\d_]")
+_LIKE = re.compile(r"[\dol|]+")
+_HEADING = re.compile(r"^\W*proyecto de ley\s*:")
+_PLURAL = re.compile(r"\b([^\W\d_]{2,5})\.(e?s)\b")
+_SIGN = re.compile("[ºª\u00ad]")
+_MARK = regex.compile(r"\p{M}")
 
 
 def fold(text: str) -> str:
     """Compatibility form without accents and case; fraction slashes become slashes."""
-    t = unicodedata.normalize("NFKD", re.sub("[ºª\u00ad]", "", text).replace("⁄", "/").replace("∕", "/"))
-    return "".join(c for c in t if not unicodedata.combining(c)).casefold()
+    if text.isascii():
+        return text.casefold()
+    return _MARK.sub("", unicodedata.normalize("NFKD", _SIGN.sub("", text).replace("⁄", "/").replace("∕", "/"))).casefold()
 
 
 @lru_cache(1 << 16)
@@ -56,14 +64,13 @@ def title_tokens(text: str | None) -> list[str]:
     """Words of a title, folded; an abbreviation keeps its point, a lost letter its mark; a heading before it goes."""
     if text is None:
         return []
-    t = re.sub(r"^\W*proyecto de ley\s*:", "", fold(text))
-    t = re.sub(r"\b([^\W\d_]{2,5})\.(e?s)\b", r"\1\2.", t)  # the plural of an abbreviation
+    t = _PLURAL.sub(r"\1\2.", _HEADING.sub("", fold(text)))  # the plural of an abbreviation
     out = []
     for m in _TOKEN.finditer(t):
         w = m.group()
         if w.endswith(".") and (len(w) > 7 or w[:-1].isdigit()):
             w = w[:-1]
-        if any(c.isdigit() for c in w) and re.fullmatch(r"[\dol|]+", w):
+        if _LIKE.fullmatch(w) and any(c.isdigit() for c in w):
             w = w.translate(_LOOKS)
         out.append(w)
     return out
