@@ -239,12 +239,15 @@ class BatchIndex:
         known = len(fallen) <= NAMED_BUCKETS
         size = sum(r["count"] for r in fallen) if known else forms.count()
         found = self.candidates(forms, size, [r["b"] for r in fallen] if known else None)
-        hot = [r["place"] for r in forms.groupBy("place").count().where(F.col("count") > HOT_FORMS).select("place").collect()] if size > HOT_FORMS else []
-        usual = forms.where(~F.col("place").isin(hot)) if hot else forms
+        hot = None
+        if size > HOT_FORMS:
+            hot = staged(forms.groupBy("place").count().where(F.col("count") > HOT_FORMS).select("place"), "hot-places")
+            hot = None if hot.isEmpty() else hot
+        usual = forms if hot is None else forms.join(hot, "place", "left_anti").select(forms.columns)
         tasks = max(self.spark.sparkContext.defaultParallelism, size // FORMS_PER_TASK)
         resolved = resolve_in_order(usual, found, self.state["buckets"], min(tasks, self.state["buckets"]))
-        if hot:
-            resolved = resolved.unionByName(settle_in_rounds(forms.where(F.col("place").isin(hot)), found))
+        if hot is not None:
+            resolved = resolved.unionByName(settle_in_rounds(forms.join(hot, "place", "left_semi").select(forms.columns), found))
         folder = f"part=step-{self.state['step'] + 1}-{uuid.uuid4().hex[:8]}"
         kind = F.when(F.col("leader") == F.col("first"), "accepted").otherwise("repeat")
         laid = resolved.withColumn("kind", kind).withColumn("bucket", F.when(kind == "accepted", _bucket(self.state["buckets"])).otherwise(0))
