@@ -32,6 +32,8 @@ RUN, EQUAL = 12, 4
 SEGMENT_BYTES, SEGMENT_DOCS = 1 << 22, 1 << 16
 #: Most words of test passages that a search holds at once; larger sets take another pass over the index.
 BLOCK_WORDS = 200_000
+#: Words of a passage that are compared at once; a longer one is compared in stretches of so many that overlap by half.
+STRETCH = 96
 #: Hits and cells that a search holds at once within a segment.
 MOST_HITS, MOST_CELLS = 1 << 22, 1 << 20
 
@@ -270,6 +272,8 @@ class Passages:
             step = max(1, MOST_CELLS // ((2 * wide + 1) * width))
             for k in range(0, len(own), step):
                 i = own[k : k + step]
+                if done:
+                    i = i[~np.isin(doc[i] << 32 | item[i], np.array([d << 32 | q for d, q in done]))]
                 codes = np.where(self.padded[item[i], :width] >= 0, local[self.padded[item[i], :width]], -1).astype(np.int32)
                 first = s.offsets[doc[i]]
                 at = (first + base[i].astype(first.dtype))[:, None, None] + np.add.outer(np.arange(-wide, wide + 1, dtype=first.dtype), np.arange(width, dtype=first.dtype))
@@ -316,7 +320,8 @@ def _longest(equal: np.ndarray) -> np.ndarray:
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item_key: str, item_text: str, run: int = RUN, index: DataFrame | None = None) -> DataFrame:
-    """``key, item_key`` of every document that holds ``run`` words of a passage of ``items`` (see :func:`aligned`).
+    """``key, item_key`` of every document that holds ``run`` words of a passage of ``items`` (see :func:`aligned`, for a
+    passage of more than ``STRETCH`` words in one of its stretches).
 
     NULL, empty and blank texts and passages shorter than ``run`` words match nothing; repeated rows give repeated
     results only where ``key`` repeats. ``index``: a stored :func:`positional_index` of ``docs``, else one is made. The
@@ -325,13 +330,13 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item_key:
     if run < 6:
         raise ValueError("a leak is at least six words")
     out: DataFrame | None = None
-    block: list[tuple[object, list[tuple[str, bool]]]] = []
+    block: list[tuple[object, list[list[tuple[str, bool]]]]] = []
     size = 0
     if index is None:
         index = staged(positional_index(docs, key, text), "positional-index")
     for one in ((r[0], told_words(r[1])) for r in items.select(item_key, item_text).toLocalIterator()):
         if len(one[1]) >= run:
-            block.append(one)
+            block.append((one[0], stretches(one[1])))
             size += len(one[1])
         if size >= BLOCK_WORDS:
             found = _find_block(index, block, items, key, item_key, run)
@@ -343,8 +348,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str, text: str, item_key:
     return out
 
 
-def _find_block(index: DataFrame, block: list[tuple[object, list[tuple[str, bool]]]], items: DataFrame, key: str, item_key: str, run: int) -> DataFrame:
-    passages = Passages([([w.casefold() for w, _ in ws], [t for _, t in ws]) for _, ws in block], run)
+def stretches(words: list) -> list[list]:
+    """``words`` in overlapping stretches of at most ``STRETCH``."""
+    return [words[a : a + STRETCH] for a in range(0, max(1, len(words) - STRETCH // 2), STRETCH // 2)]
+
+
+def _find_block(index: DataFrame, block: list[tuple[object, list[list[tuple[str, bool]]]]], items: DataFrame, key: str, item_key: str, run: int) -> DataFrame:
+    passages = Passages([([w.casefold() for w, _ in ws], [t for _, t in ws]) for _, parts in block for ws in parts], run)
+    owner = [k for k, (_, parts) in enumerate(block) for _ in parts]
     passages.seed(document_frequencies(index, passages.vocabulary) if passages.vocabulary else {})
     names = pa.array([i for i, _ in block])
     key_type, item_type = index.schema["keys"].dataType.elementType, items.schema[item_key].dataType
@@ -353,7 +364,7 @@ def _find_block(index: DataFrame, block: list[tuple[object, list[tuple[str, bool
         for b in batches:
             for row in range(b.num_rows):
                 s = Segment(b, row)
-                found = list(passages.search(s))
+                found = {(d, owner[i]) for d, i in passages.search(s)}
                 if found:
                     doc, item = (pa.array(x, pa.int64()) for x in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([s.keys.take(doc), names.take(item)], names=["doc", "item"])

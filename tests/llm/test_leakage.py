@@ -102,6 +102,20 @@ def test_rarest_words_of_a_passage_may_be_the_changed_ones(spark):
     assert [(r.doc_id, r.item_id) for r in got] == [(1, 7)]
 
 
+def test_long_passages_are_compared_in_stretches(spark):
+    from tamiz.llm.leakage import STRETCH, stretches
+
+    for n in (12, 95, 96, 97, 144, 145, 400):
+        parts = stretches(list(range(n)))
+        assert sorted({x for p in parts for x in p}) == list(range(n)) and max(map(len, parts)) <= STRETCH
+        assert all(any(set(range(a, min(n, a + 48))) <= set(p) for p in parts) for a in range(n))
+    rng = random.Random(2)
+    words_ = [f"w{rng.randint(0, 3000)}" for _ in range(1200)]
+    docs = [(1, " ".join(words_ * 20)), (2, " ".join(words_[k] for k in range(300, 312))), (3, " ".join(words_[700:711])), (4, " ".join(words_[1180:]))]
+    got = find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(5, " ".join(words_))], "item_id bigint, text string"), "doc_id", "text", "item_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 5), (2, 5), (4, 5)]
+
+
 def test_blocks_within_a_segment_make_no_difference(spark, monkeypatch):
     import pyarrow as pa
 
