@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tamiz.functions.checksum import row_checksum
 from tamiz.functions.model_json import labels_of
 from tamiz.functions.retry import wait_seconds
-from tamiz.functions.text import after_marker, entity_key, find_all_at, search_group
+from tamiz.functions.text import after_marker, entity_key, find_all_at, search_group, strip
 from tamiz.functions.url import page_urls
 from tamiz.operators.classify import batch_prompts, classifier_text, classify, in_domain, numbered_batches, prompt_lines, rule_label, valid_rules, with_model_labels
 from tamiz.operators.clean import clean, conform, rename_legacy_key
@@ -497,8 +497,8 @@ def detail_pages(spark: SparkSession, sf: str) -> DataFrame:
     iso = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     html = F.concat(
         F.lit("<html><body><h1>"), escaped(F.col("no_camara")), F.lit('</h1><p>Radicado <b>'), iso("fecha_camara"), F.lit("<br>"), iso("fecha_senado"),
-        F.lit('</b><form><input name="SumIni" value="'), escaped(F.col("comision")), F.lit('"><input name="FecPres" value="el 05/06/2024 a las 3"></form>'),
-        F.lit("<div>Objeto de proyecto: "), escaped(F.col("estado")), F.lit("\nObservaciones: "), escaped(F.col("tipo")), F.lit("\n\nfin</div>"),
+        F.lit('</b><form><input name="SumIni" value="'), escaped(F.col("titulo")), F.lit('"><input name="FecPres" value="el 05/06/2024 a las 3"></form>'),
+        F.lit("<div>Objeto de proyecto: "), escaped(F.col("objeto")), F.lit("\nObservaciones: "), escaped(F.when(F.coalesce(strip(F.col("observaciones")), F.lit("")) == "", "ninguna").otherwise(F.col("observaciones"))), F.lit("\n\nfin</div>"),
         F.lit('<ul><li><a href="/d/'), F.col("rec_id").cast("string"), F.lit('.pdf">Texto</a><li><a href="/v/1">VER DOCUMENTO</a><li><a href="/d/'), F.col("rec_id").cast("string"),
         F.lit('.pdf">Otra vez</a><li><a href="x/'), (F.col("rec_id") % 7).cast("string"), F.lit('">Ver  Expediente Digital</a></ul></body></html>'),
     )
@@ -509,7 +509,7 @@ def _detail(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     return extract_detail(detail_pages(spark, sf), {n: DETAIL[n] for n in names}, "https://portal.invalid", carry=["rec_id"])
 
 
-@query("detail_xpath_scalar", f"SELECT rec_id, {sql_strip(_CLEAN('no_camara'))} AS titulo_detalle, {sql_strip(_CLEAN('comision'))} AS sumilla, '05/06/2024' AS presentado, CAST(NULL AS VARCHAR) AS nada FROM final_projects")
+@query("detail_xpath_scalar", f"SELECT rec_id, {sql_strip(_CLEAN('no_camara'))} AS titulo_detalle, {sql_strip(_CLEAN('titulo'))} AS sumilla, '05/06/2024' AS presentado, CAST(NULL AS VARCHAR) AS nada FROM final_projects")
 def q_xpath_scalar(spark: SparkSession, sf: str) -> DataFrame:
     return _detail(spark, sf, "titulo_detalle", "sumilla", "presentado", "nada")
 
@@ -539,7 +539,7 @@ def q_find_all(spark: SparkSession, sf: str) -> DataFrame:
     return _detail(spark, sf, "fecha_camara", "fecha_senado")
 
 
-@query("detail_regex", f"SELECT rec_id, {sql_strip(_CLEAN('estado'))} AS objeto, {sql_strip(_CLEAN('tipo'))} AS observaciones FROM final_projects")
+@query("detail_regex", f"SELECT rec_id, {sql_strip(_CLEAN('objeto'))} AS objeto, CASE WHEN {sql_strip(_CLEAN('observaciones'))} = '' THEN 'ninguna' ELSE {sql_strip(_CLEAN('observaciones'))} END AS observaciones FROM final_projects")
 def q_detail_regex(spark: SparkSession, sf: str) -> DataFrame:
     return _detail(spark, sf, "objeto", "observaciones")
 
@@ -550,8 +550,6 @@ def q_detail_regex(spark: SparkSession, sf: str) -> DataFrame:
     {sql_strip("regexp_extract(CASE WHEN strpos(text, 'Ley ') > 0 THEN substr(text, strpos(text, 'Ley ') + 4) ELSE text END, '([0-9]+) de ([0-9]{4})', 1)")} AS number FROM documents WHERE text IS NOT NULL""",
 )
 def q_block_after(spark: SparkSession, sf: str) -> DataFrame:
-    from tamiz.functions.text import strip
-
     docs = table(spark, sf, "documents").where("text IS NOT NULL")
     block = after_marker(F.col("text"), "Ley ")
     return docs.select("doc_id", strip(block).alias("after"), search_group(block, "([0-9]+) de (?:[0-9]{4})").alias("number"))
