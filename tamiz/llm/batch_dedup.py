@@ -235,13 +235,15 @@ class BatchIndex:
         That holds the forms with ``leader``, the accepted row that says the same, the first such; their own ``first`` where
         they are accepted. An empty batch changes nothing but the number of the step.
         """
-        fallen = forms.groupBy(_bucket(self.state["buckets"]).alias("b")).count().limit(NAMED_BUCKETS + 1).collect()
+        # One look at the batch: how many forms, how many of one identity at most, and the buckets they fall into.
+        places = forms.groupBy("place").agg(F.count(F.lit(1)).alias("n"))
+        fallen = places.groupBy(_bucket(self.state["buckets"]).alias("b")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).limit(NAMED_BUCKETS + 1).collect()
         known = len(fallen) <= NAMED_BUCKETS
-        size = sum(r["count"] for r in fallen) if known else forms.count()
+        size = sum(r["n"] for r in fallen) if known else forms.count()
         found = self.candidates(forms, size, [r["b"] for r in fallen] if known else None)
         hot = None
-        if size > HOT_FORMS:
-            hot = staged(forms.groupBy("place").count().where(F.col("count") > HOT_FORMS).select("place"), "hot-places")
+        if not known or any(r["most"] > HOT_FORMS for r in fallen):
+            hot = staged(places.where(F.col("n") > HOT_FORMS).select("place"), "hot-places")
             hot = None if hot.isEmpty() else hot
         usual = forms if hot is None else forms.join(hot, "place", "left_anti").select(forms.columns)
         tasks = max(self.spark.sparkContext.defaultParallelism, size // FORMS_PER_TASK)
