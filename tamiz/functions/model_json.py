@@ -20,13 +20,6 @@ def label_records(response: Column) -> Column:
     return F.coalesce(good, F.array().cast(_RECORDS))
 
 
-def label_map(response: Column) -> Column:
-    """``{id: label}`` of an answer; of repeated ids the last one counts."""
-    records = label_records(response)
-    last = F.filter(records, lambda r, i: ~F.exists(F.slice(records, i + 2, F.size(records)), lambda later: later["id"] == r["id"]))
-    return F.map_from_entries(last)
-
-
 def labels_of(responses: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """``keys, id, label`` of all answers, one row for each id of an answer; of repeated ids the last one counts."""
     placed = responses.select(*keys, F.posexplode(label_records(F.col(text))).alias("place", "record"))

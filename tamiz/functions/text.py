@@ -26,11 +26,6 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(strip(c) == "", F.lit(True))
 
 
-def blank_to_null(c: Column) -> Column:
-    """NULL for blank strings; any other string unchanged, not trimmed."""
-    return F.when(strip(c) != "", c)
-
-
 def entity_key(c: Column | str) -> Column:
     """Key of an entity: stripped of all outer white space, in capitals; NULL where nothing is left."""
     s = F.upper(strip(c))
