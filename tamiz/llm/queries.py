@@ -11,7 +11,7 @@ from tamiz.llm.batch_dedup import deduplicate_batches
 from tamiz.llm.encoding import find_garbled, pair_counts
 from tamiz.llm.leakage import find_leaks
 from tamiz.llm.subjects import score_subjects, train_subjects
-from tamiz.llm.tokenize import encode_corpus, encode_whole
+from tamiz.llm.tokenize import encode_corpus, encode_whole, token_count
 from tamiz.llm.truncation import score_truncation, truncation_rates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +43,7 @@ def p6_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = encode_corpus(runs, "run", "text", whole=4096, half=1024)
     once = encode_whole(runs, "run", "text").withColumnRenamed("ids", "once")
     both = runs.select("run", F.length("text").alias("letters")).join(tree, "run").join(once, "run")
-    return both.select("run", "letters", F.size("ids").alias("tokens"), (F.col("ids") == F.col("once")).alias("same"))
+    return both.select("run", "letters", token_count(F.col("ids")).alias("tokens"), (F.col("ids") == F.col("once")).alias("same"))
 
 
 @query
