@@ -162,7 +162,7 @@ _RESOLVED = f"{_FORM}, leader bigint"
 
 
 def signed_forms(canonical: DataFrame) -> DataFrame:
-    """Distinct forms of :func:`canonical_rows`: ``first`` row, ``identity``, ``title``, ``place`` (hash of the identity) and
+    """Distinct forms of :func:`canonical_rows`, which have been :func:`~tamiz.session.staged`: ``first`` row, ``identity``, ``title``, ``place`` (hash of the identity) and
     ``signature`` (band keys)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,8 @@ def signed_forms(canonical: DataFrame) -> DataFrame:
 
     forms = canonical.groupBy("identity", "title").agg(F.min("raw_id").alias("first"))
     # Few bytes, but much work for each: spread over all cores, whatever the bytes say.
-    forms = forms.repartition(int(canonical.sparkSession.conf.get("spark.sql.shuffle.partitions")), "identity")
+    tasks = max(canonical.sparkSession.sparkContext.defaultParallelism, canonical.count() // FORMS_PER_TASK)
+    forms = forms.repartition(tasks, "identity")
     return forms.select("first", "identity", "title", F.xxhash64("identity").alias("place")).mapInArrow(sign, _FORM)
 
 
